@@ -97,3 +97,115 @@ def minimum_slice_sql() -> str:
         + """SELECT userId, productId, ts AS "timestamp", label, releaseYear, userRatingCount,
   userAvgReleaseYear, userAvgRating, userRatingStddev FROM ranked"""
     )
+
+
+# ---------------------------------------------------------------- basics
+def basic_sql() -> dict[str, str]:
+    r = with_views(RATINGS)
+    rp = with_views(RATINGS, PRODUCTS)
+    return {
+        "add_label": r + "SELECT *, CASE WHEN rating >= 3.5 THEN 1 ELSE 0 END AS label FROM ratings",
+        "positive_only": r + "SELECT * FROM ratings WHERE rating >= 3.5",
+        "rating_histogram": r + """SELECT rating, count(*) AS "count",
+            CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS percentage
+            FROM ratings GROUP BY rating""",
+        "rating_count": r + "SELECT count(*) AS n FROM ratings",
+        "product_attributes": with_views(PRODUCTS) + f"""SELECT productId, {YEAR} AS releaseYear,
+            trim(substring(trim(title), 1, greatest(length(trim(title)) - 6, 0))) AS cleanTitle,
+            string_split(types, '|')[1] AS productType1,
+            string_split(types, '|')[2] AS productType2,
+            string_split(types, '|')[3] AS productType3
+            FROM products""",
+        "product_types": with_views(PRODUCTS) + "SELECT productId, unnest(string_split(types, '|')) AS type FROM products",
+        "ratings_with_products": rp + f"""SELECT r.*, {YEAR} AS releaseYear, p.types,
+            string_split(p.types, '|')[1] AS productType1,
+            string_split(p.types, '|')[2] AS productType2,
+            string_split(p.types, '|')[3] AS productType3
+            FROM ratings r LEFT JOIN products p USING (productId)""",
+        "product_rating_features": r + f"""SELECT productId, count(*) AS productRatingCount,
+            {fmt2('avg(rating)')} AS productAvgRating,
+            {fmt2('coalesce(stddev_samp(rating), 0)')} AS productRatingStddev
+            FROM ratings GROUP BY productId""",
+        "product_stats": r + """SELECT productId, count(*) AS ratingCount, round(avg(rating), 6) AS avgRating,
+            round(var_samp(rating), 6) AS ratingVar FROM ratings GROUP BY productId""",
+        "distinct_users": r + "SELECT DISTINCT userId FROM ratings ORDER BY userId LIMIT 3",
+        "user_timeline": r + """SELECT * FROM ratings WHERE userId = (SELECT min(userId) FROM ratings)""",
+    }
+
+
+# ---------------------------------------------------------------- sequences
+POSITIVE_SEQ = """pos AS (
+  SELECT userId, productId,
+         row_number() OVER (PARTITION BY userId ORDER BY """ + ORDER + """) - 1 AS p,
+         lead(productId) OVER (PARTITION BY userId ORDER BY """ + ORDER + """) AS nxt
+  FROM ratings WHERE rating >= 3.5)"""
+
+PAIRS = """pairs AS (SELECT productId AS src, nxt AS dst, count(*) AS cnt FROM pos WHERE nxt IS NOT NULL GROUP BY ALL)"""
+
+
+def sequence_sql() -> dict[str, str]:
+    base = with_views(RATINGS, POSITIVE_SEQ, PAIRS)
+    return {
+        "item_sequences": base + """SELECT userId, CAST(floor(p / 1000) AS BIGINT) AS sentence,
+            string_agg(CAST(productId AS VARCHAR), ' ' ORDER BY p) AS productIdStr
+            FROM pos GROUP BY userId, floor(p / 1000)""",
+        "pair_counts": base + "SELECT src, dst, cnt FROM pairs",
+        "transition_probs": base + """SELECT src, dst, cnt,
+            CAST(cnt AS DOUBLE) / CAST(sum(cnt) OVER (PARTITION BY src) AS DOUBLE) AS prob FROM pairs""",
+        "item_distribution": base + """SELECT src AS item, CAST(sum(cnt) AS BIGINT) AS cnt,
+            CAST(sum(cnt) AS DOUBLE) / CAST((SELECT sum(cnt) FROM pairs) AS DOUBLE) AS prob
+            FROM pairs GROUP BY src""",
+    }
+
+
+# ---------------------------------------------------------------- embeddings
+def _sqdist(a: str, b: str) -> str:
+    return (f"list_sum(list_transform(range(1, len({a}) + 1), "
+            f"lambda i: (CAST({a}[i] AS DOUBLE) - CAST({b}[i] AS DOUBLE)) * (CAST({a}[i] AS DOUBLE) - CAST({b}[i] AS DOUBLE))))")
+
+
+def _dot(a: str, b: str) -> str:
+    return (f"list_sum(list_transform(range(1, len({a}) + 1), "
+            f"lambda i: CAST({a}[i] AS DOUBLE) * CAST({b}[i] AS DOUBLE)))")
+
+
+USER_EMB = """pc AS (SELECT userId, productId, count(*) AS n FROM ratings GROUP BY ALL),
+ux AS (SELECT pc.userId, pc.n, e.embedding FROM pc JOIN embeddings e ON e.vec_id = pc.productId),
+ud AS (SELECT userId, n, generate_subscripts(embedding, 1) - 1 AS dim, unnest(embedding) AS v FROM ux),
+ue AS (SELECT userId, dim, sum(CAST(v AS DOUBLE) * n) AS value FROM ud GROUP BY userId, dim),
+uemb AS (SELECT userId, list(value ORDER BY dim) AS emb FROM ue GROUP BY userId)"""
+
+
+def embedding_sql() -> dict[str, str]:
+    return {
+        "ratings_with_vectors": with_views(RATINGS) + """SELECT r.*, len(e.embedding) AS dims,
+            round(sqrt(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm
+            FROM ratings r JOIN embeddings e ON e.vec_id = r.productId""",
+        "user_embeddings": with_views(RATINGS, USER_EMB) + "SELECT userId, dim, round(value, 6) AS value FROM ue",
+        "nearest_k": f"""WITH q AS (SELECT embedding AS qv FROM embeddings WHERE vec_id = 0),
+            d AS (SELECT vec_id, sqrt({_sqdist('embedding', 'qv')}) AS dist FROM embeddings, q)
+            SELECT vec_id, round(dist, 6) AS distance FROM d ORDER BY dist, vec_id LIMIT 5""",
+        "most_similar": f"""WITH q AS (SELECT embedding AS qv FROM embeddings WHERE vec_id = 0),
+            s AS (SELECT vec_id, {_dot('embedding', 'qv')} / (sqrt({_dot('embedding', 'embedding')}) * sqrt({_dot('qv', 'qv')})) AS sim
+            FROM embeddings, q WHERE vec_id <> 0)
+            SELECT vec_id, round(sim, 6) AS similarity FROM s ORDER BY sim DESC, vec_id LIMIT 20""",
+        "two_tower_scores": with_views(RATINGS, USER_EMB) + f""", sc AS (
+            SELECT p.userId, p.productId, {_dot('u.emb', 'e.embedding')} AS score
+            FROM (SELECT DISTINCT userId, productId FROM ratings) p
+            JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId),
+            rk AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, productId) AS rank FROM sc)
+            SELECT userId, productId, round(score, 6) AS score, rank FROM rk WHERE rank <= 10""",
+        "fm_interaction": with_views(RATINGS, USER_EMB) + f""", f AS (
+            SELECT p.userId, p.productId, u.emb AS a, e.embedding AS b
+            FROM (SELECT DISTINCT userId, productId FROM ratings) p
+            JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId)
+            SELECT userId, productId, round(list_sum(list_transform(range(1, len(a) + 1),
+              lambda i: (CAST(a[i] AS DOUBLE) + CAST(b[i] AS DOUBLE)) * (CAST(a[i] AS DOUBLE) + CAST(b[i] AS DOUBLE))
+                        - (CAST(a[i] AS DOUBLE) * CAST(a[i] AS DOUBLE) + CAST(b[i] AS DOUBLE) * CAST(b[i] AS DOUBLE)))), 4) AS fm
+            FROM f""",
+        "pair_dots": with_views(RATINGS, USER_EMB) + f""", f AS (
+            SELECT p.userId, p.productId, u.emb AS a, e.embedding AS b
+            FROM (SELECT DISTINCT userId, productId FROM ratings) p
+            JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId)
+            SELECT userId, productId, round({_dot('b', 'a')}, 4) AS item_user, round({_dot('b', 'b')}, 6) AS item_item FROM f""",
+    }

@@ -5,6 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from recforge.functions import scalar as SF
+from recforge.functions import vectors as V
+from recforge.operators import embeddings as E
+from recforge.operators import encoders as ENC
+from recforge.operators import labels as L
+from recforge.operators import products as P
+from recforge.operators import sequences as Q
 
 from recforge.plans import oracle
 from recforge.plans.samples import minimum_slice, training_samples
@@ -21,12 +30,80 @@ def _minimum(spark: SparkSession, sf: str) -> DataFrame:
     return minimum_slice(fx.ratings(spark, sf), fx.products(spark, sf), fx.RATING_ORDER)
 
 
+def _r(spark, sf):
+    return fx.ratings(spark, sf)
+
+
+def _round(c, places=6):
+    return F.round(F.col(c), places).alias(c)
+
+
+def _user_emb(spark, sf):
+    return E.user_embeddings(_r(spark, sf), fx.item_vectors(spark, sf))
+
+
+def _distinct_pairs_with_fields(spark, sf):
+    pairs = _r(spark, sf).select("userId", "productId").distinct()
+    u = _user_emb(spark, sf).select("userId", F.col("emb").alias("a"))
+    i = fx.item_vectors(spark, sf).select("productId", F.col("emb").alias("b"))
+    return pairs.join(u, "userId").join(i, "productId")
+
+
+def _timeline(spark, sf):
+    r = _r(spark, sf)
+    first = r.agg(F.min("userId")).scalar()
+    return r.where(F.col("userId") == first).orderBy(*fx.RATING_ORDER)
+
+
+ORDER = list(fx.RATING_ORDER)
+
 QUERIES: dict[str, Query] = {
     "training_samples": _samples,
     "minimum_slice": _minimum,
+    # projections, filters, joins, aggregates
+    "add_label": lambda s, sf: L.add_label(_r(s, sf)),
+    "positive_only": lambda s, sf: L.positive_only(_r(s, sf)),
+    "rating_histogram": lambda s, sf: L.rating_histogram(_r(s, sf)),
+    "rating_count": lambda s, sf: _r(s, sf).agg(F.count(F.lit(1)).alias("n")),
+    "product_attributes": lambda s, sf: fx.products(s, sf).select(
+        "productId", SF.release_year("title").alias("releaseYear"), SF.clean_title("title").alias("cleanTitle"),
+        *[SF.split_part("types", i).alias(f"productType{i + 1}") for i in range(3)]),
+    "product_types": lambda s, sf: ENC.product_types(fx.products(s, sf)).select("productId", "type"),
+    "ratings_with_products": lambda s, sf: P.join_products(_r(s, sf), fx.products(s, sf)),
+    "product_rating_features": lambda s, sf: P.product_rating_features(_r(s, sf)),
+    "product_stats": lambda s, sf: P.product_stats(_r(s, sf)).select(
+        "productId", "ratingCount", _round("avgRating"), _round("ratingVar")),
+    "distinct_users": lambda s, sf: _r(s, sf).select("userId").distinct().orderBy("userId").limit(3),
+    "user_timeline": _timeline,
+    # sequences
+    "item_sequences": lambda s, sf: Q.item_sequences(_r(s, sf), ORDER).select("userId", "sentence", "productIdStr"),
+    "pair_counts": lambda s, sf: Q.pair_counts(_r(s, sf), ORDER),
+    "transition_probs": lambda s, sf: Q.transition_probs(Q.pair_counts(_r(s, sf), ORDER)),
+    "item_distribution": lambda s, sf: Q.item_distribution(Q.pair_counts(_r(s, sf), ORDER)),
+    # embeddings
+    "ratings_with_vectors": lambda s, sf: E.ratings_with_vectors(_r(s, sf), fx.item_vectors(s, sf)).select(
+        *fx.ratings(s, sf).columns, F.size("emb").alias("dims"),
+        F.round(F.sqrt(V.dot(F.col("emb"), F.col("emb"))), 6).alias("norm")),
+    "user_embeddings": lambda s, sf: _user_emb(s, sf).select("userId", F.posexplode("emb").alias("dim", "value")).select(
+        "userId", "dim", _round("value")),
+    "nearest_k": lambda s, sf: E.nearest_k(fx.vectors(s, sf), E.query_vector(fx.vectors(s, sf), 0), 5).select(
+        "vec_id", _round("distance")),
+    "most_similar": lambda s, sf: E.most_similar(fx.vectors(s, sf), 0, 20).select("vec_id", _round("similarity")),
+    "two_tower_scores": lambda s, sf: E.two_tower_scores(_r(s, sf), _user_emb(s, sf), fx.item_vectors(s, sf), 10).select(
+        "userId", "productId", _round("score"), "rank"),
+    "fm_interaction": lambda s, sf: _distinct_pairs_with_fields(s, sf).select(
+        "userId", "productId",
+        F.round(F.aggregate(E.fm_interaction([F.col("a"), F.col("b")]), F.lit(0.0), lambda acc, x: acc + x), 4).alias("fm")),
+    "pair_dots": lambda s, sf: _distinct_pairs_with_fields(s, sf).select(
+        "userId", "productId",
+        F.round(V.dot(F.col("b"), F.col("a")), 4).alias("item_user"),
+        F.round(V.dot(F.col("b"), F.col("b")), 6).alias("item_item")),
 }
 
 ORACLE: dict[str, str] = {
     "training_samples": oracle.training_samples_sql(),
     "minimum_slice": oracle.minimum_slice_sql(),
+    **oracle.basic_sql(),
+    **oracle.sequence_sql(),
+    **oracle.embedding_sql(),
 }
