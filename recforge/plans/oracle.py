@@ -209,3 +209,118 @@ def embedding_sql() -> dict[str, str]:
             JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId)
             SELECT userId, productId, round({_dot('b', 'a')}, 4) AS item_user, round({_dot('b', 'b')}, 6) AS item_item FROM f""",
     }
+
+
+# ---------------------------------------------------------------- hashing (same integers as Spark)
+M31 = 2147483647
+
+
+def pmod(a: str, m: str) -> str:
+    return f"((({a}) % ({m})) + ({m})) % ({m})"
+
+
+def int_hash(a: str, b: str, seed: int) -> str:
+    return pmod(f"(CAST({a} AS BIGINT) * 7919 + CAST({b} AS BIGINT) * 104729 + {seed}) * 48271", str(M31))
+
+
+def row_key(*cols: str) -> str:
+    acc = "CAST(0 AS BIGINT)"
+    for c in cols:
+        acc = pmod(f"({acc}) * 1000003 + {pmod(f'CAST({c} AS BIGINT)', str(M31))}", str(M31))
+    return acc
+
+
+# ---------------------------------------------------------------- encoders
+TYPES = """tx AS (SELECT productId, unnest(string_split(types, '|')) AS type FROM products),
+tc AS (SELECT type, count(*) AS n FROM tx GROUP BY type),
+ti AS (SELECT type, CAST(row_number() OVER (ORDER BY n DESC, type) - 1 AS INTEGER) AS typeIndex FROM tc)"""
+
+VOCAB = ["PropertyInsurance", "LifeInsurance", "MedicalInsurance", "AccidentInsurance", "ShortTermBonds",
+         "LediumTermBonds", "LongTermBonds", "StockFunds", "BondFunds", "MoneyMarketFunds", "MixedFunds",
+         "Gold", "Silver", "Platinum", "Palladium", "LDW", "LDZW", "ZDLW"]
+
+
+def encoder_sql() -> dict[str, str]:
+    p = with_views(PRODUCTS)
+    pt = with_views(PRODUCTS, TYPES)
+    vocab = "[" + ", ".join(f"'{v}'" for v in VOCAB) + "]"
+    return {
+        "one_hot": p + """SELECT productId, CAST((SELECT max(productId) FROM products) + 1 AS INTEGER) AS size,
+            CAST(productId AS INTEGER) AS idx FROM products""",
+        "type_index": pt + "SELECT type, typeIndex FROM ti",
+        "type_index_lists": pt + """SELECT productId, string_agg(CAST(typeIndex AS VARCHAR), ',' ORDER BY typeIndex) AS typeIndexes
+            FROM tx JOIN ti USING (type) GROUP BY productId""",
+        "vocabulary_size": pt + "SELECT CAST(max(typeIndex) + 1 AS INTEGER) AS indexSize FROM ti",
+        "multi_hot": pt + """SELECT productId, CAST((SELECT count(*) FROM ti) AS INTEGER) AS size,
+            string_agg(CAST(typeIndex AS VARCHAR), ',' ORDER BY typeIndex) AS indices
+            FROM (SELECT DISTINCT productId, typeIndex FROM tx JOIN ti USING (type)) GROUP BY productId""",
+        "minmax_avg_rating": with_views(RATINGS) + """, s AS (SELECT productId, avg(rating) AS avgRating FROM ratings GROUP BY productId),
+            b AS (SELECT min(avgRating) AS lo, max(avgRating) AS hi FROM s)
+            SELECT productId, round(avgRating, 6) AS avgRating,
+              round(CASE WHEN hi = lo THEN 0.5 ELSE (avgRating - lo) / (hi - lo) END, 6) AS scaledAvgRating
+            FROM s, b""",
+        "identity_index": with_views(RATINGS) + """SELECT *,
+            CASE WHEN productId >= 0 AND productId < 1001 THEN productId END AS productIdx,
+            CASE WHEN userId >= 0 AND userId < 30001 THEN userId END AS userIdx FROM ratings""",
+        "vocab_index": pt + f"""SELECT productId, type,
+            CAST(coalesce(list_position({vocab}, type) - 1, -1) AS INTEGER) AS vocabIndex FROM tx""",
+        "indicator": pt + """SELECT productId, type, typeIndex,
+            CAST(CASE WHEN typeIndex >= 0 AND typeIndex < 10 THEN typeIndex ELSE -1 END AS INTEGER) AS hot
+            FROM tx JOIN ti USING (type)""",
+        "crossed": with_views(*SAMPLE_BASE, sample_windows()) + f"""SELECT userId, productId, ts AS "timestamp",
+            hist[1] AS userRatedproduct1,
+            CAST({pmod(int_hash('coalesce(productId, 0)', 'coalesce(hist[1], 0)', 0), '10000')} AS INTEGER) AS cross
+            FROM ranked""",
+    }
+
+
+# ---------------------------------------------------------------- splits
+def split_sql() -> dict[str, str]:
+    base = with_views(*SAMPLE_BASE, sample_windows()) + """, s AS (
+        SELECT userId, productId, ts AS "timestamp", label,
+               hist[2] AS userRatedproduct2, hist[3] AS userRatedproduct3,
+               hist[4] AS userRatedproduct4, hist[5] AS userRatedproduct5 FROM ranked)
+        """
+    key = row_key("userId", "productId", '"timestamp"')
+    keep = pmod(int_hash(key, "0", 0), "1000")
+    part = pmod(int_hash(key, "0", 1), "1000")
+    negs = []
+    for slot in (2, 3, 4, 5):
+        own = f"coalesce(CAST(userRatedproduct{slot} AS BIGINT), 0)"
+        h = int_hash(key, str(slot), 2020)
+        r = pmod(h, "1000")
+        negs.append(f"""CASE WHEN {own} >= 0 AND {own} < 1001
+              THEN {r} + CASE WHEN {r} >= {own} THEN 1 ELSE 0 END
+              ELSE {pmod(h, '1001')} END AS negtive_userRatedproduct{slot}""")
+    return {
+        "split_samples": base + f"""SELECT userId, productId, "timestamp", label,
+            CASE WHEN {part} < 800 THEN 'train' ELSE 'test' END AS split
+            FROM s WHERE {keep} < 100""",
+        "time_split": base + """SELECT userId, productId, "timestamp", label,
+            CASE WHEN "timestamp" <= (SELECT percentile_disc(0.8) WITHIN GROUP (ORDER BY "timestamp") FROM s)
+                 THEN 'train' ELSE 'test' END AS split FROM s""",
+        "negative_items": base + "SELECT userId, productId, \"timestamp\", userRatedproduct2, userRatedproduct3, "
+            "userRatedproduct4, userRatedproduct5, " + ", ".join(negs) + " FROM s",
+    }
+
+
+# ---------------------------------------------------------------- walks
+def walk_sql(n_walks: int = 20000, length: int = 10, seed: int = 0) -> str:
+    h0 = int_hash("w", "0", seed)
+    hk = int_hash("walk.w", "walk.step + 1", seed)
+    return "WITH RECURSIVE " + ",\n".join([RATINGS, POSITIVE_SEQ, PAIRS]) + f""",
+edges AS (SELECT src, dst, cnt,
+    CAST(sum(cnt) OVER (PARTITION BY src ORDER BY dst ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS hi,
+    CAST(sum(cnt) OVER (PARTITION BY src) AS BIGINT) AS tot FROM pairs),
+srcs AS (SELECT src, CAST(sum(cnt) AS BIGINT) AS c FROM pairs GROUP BY src),
+starts AS (SELECT src, c, CAST(sum(c) OVER (ORDER BY src ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS hi FROM srcs),
+g AS (SELECT CAST(sum(c) AS BIGINT) AS total FROM srcs),
+w0 AS (SELECT range AS w, {pmod(h0, '(SELECT total FROM g)')} AS u FROM range(0, {n_walks})),
+walk(w, step, item) AS (
+  SELECT w0.w, 0, s.src FROM w0 JOIN starts s ON w0.u >= s.hi - s.c AND w0.u < s.hi
+  UNION ALL
+  SELECT walk.w, walk.step + 1, e.dst FROM walk JOIN edges e ON e.src = walk.item
+    AND {pmod(hk, 'e.tot')} >= e.hi - e.cnt AND {pmod(hk, 'e.tot')} < e.hi
+  WHERE walk.step + 1 < {length})
+SELECT w AS walk_id, string_agg(CAST(item AS VARCHAR), ' ' ORDER BY step) AS path, CAST(count(*) AS INTEGER) AS length
+FROM walk GROUP BY w"""

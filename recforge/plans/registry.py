@@ -14,6 +14,9 @@ from recforge.operators import encoders as ENC
 from recforge.operators import labels as L
 from recforge.operators import products as P
 from recforge.operators import sequences as Q
+from recforge.operators import splits as SP
+from recforge.operators import walks as W
+from pyspark.ml.functions import vector_to_array
 
 from recforge.plans import oracle
 from recforge.plans.samples import minimum_slice, training_samples
@@ -56,6 +59,13 @@ def _timeline(spark, sf):
 
 
 ORDER = list(fx.RATING_ORDER)
+KEY = ["userId", "productId", "timestamp"]
+
+
+def _one_hot(spark, sf):
+    enc = ENC.one_hot(fx.products(spark, sf), "productId", "v")
+    arr = vector_to_array("v")
+    return enc.select("productId", F.size(arr).alias("size"), (F.array_position(arr, 1.0) - 1).cast("int").alias("idx"))
 
 QUERIES: dict[str, Query] = {
     "training_samples": _samples,
@@ -98,6 +108,43 @@ QUERIES: dict[str, Query] = {
         "userId", "productId",
         F.round(V.dot(F.col("b"), F.col("a")), 4).alias("item_user"),
         F.round(V.dot(F.col("b"), F.col("b")), 6).alias("item_item")),
+    # encoders
+    "one_hot": _one_hot,
+    "type_index": lambda s, sf: ENC.index_types(ENC.product_types(fx.products(s, sf)))[0].select(
+        "type", F.col("typeIndexInt").alias("typeIndex")).distinct(),
+    "type_index_lists": lambda s, sf: ENC.type_index_lists(ENC.index_types(ENC.product_types(fx.products(s, sf)))[0]).select(
+        "productId", F.array_join("typeIndexes", ",").alias("typeIndexes")),
+    "vocabulary_size": lambda s, sf: ENC.vocabulary_size(ENC.index_types(ENC.product_types(fx.products(s, sf)))[0]),
+    "multi_hot": lambda s, sf: ENC.multi_hot(fx.products(s, sf)).select(
+        "productId", F.size(vector_to_array("vector")).alias("size"),
+        F.array_join(ENC.sparse_indices(F.col("vector")), ",").alias("indices")),
+    "minmax_avg_rating": lambda s, sf: ENC.minmax(P.product_stats(_r(s, sf)).select("productId", "avgRating"),
+                                                  "avgRating", "scaledAvgRating").select(
+        "productId", _round("avgRating"), _round("scaledAvgRating")),
+    "bucket_and_scale": lambda s, sf: ENC.bucket_and_scale(P.product_stats(_r(s, sf))).select(
+        "productId", "ratingCount", "ratingCountBucket",
+        F.round(vector_to_array("scaleAvgRating")[0], 6).alias("scaleAvgRating")),
+    "identity_index": lambda s, sf: _r(s, sf).select(
+        "*", ENC.identity_index(F.col("productId"), ENC.PRODUCT_ID_BUCKETS).alias("productIdx"),
+        ENC.identity_index(F.col("userId"), ENC.USER_ID_BUCKETS).alias("userIdx")),
+    "vocab_index": lambda s, sf: ENC.product_types(fx.products(s, sf)).select(
+        "productId", "type", ENC.vocab_index(F.col("type")).alias("vocabIndex")),
+    "indicator": lambda s, sf: ENC.index_types(ENC.product_types(fx.products(s, sf)))[0].select(
+        "productId", "type", F.col("typeIndexInt").alias("typeIndex"),
+        (F.array_position(vector_to_array(ENC.indicator(F.col("typeIndexInt"), 10)), 1.0) - 1).cast("int").alias("hot")),
+    "crossed": lambda s, sf: _samples(s, sf).select(
+        "userId", "productId", "timestamp", "userRatedproduct1",
+        ENC.crossed(F.col("productId"), F.col("userRatedproduct1")).alias("cross")),
+    # sampling and splitting
+    "split_samples": lambda s, sf: SP.hash_split(
+        SP.hash_sample(_samples(s, sf), KEY, seed=0), KEY, seed=1).select("userId", "productId", "timestamp", "label", "split"),
+    "time_split": lambda s, sf: SP.time_split(_samples(s, sf).select("userId", "productId", "timestamp", "label")),
+    "time_split_approx": lambda s, sf: SP.time_split(
+        _samples(s, sf).select("userId", "productId", "timestamp", "label"), exact=False),
+    "negative_items": lambda s, sf: SP.negative_items(_samples(s, sf).select(
+        "userId", "productId", "timestamp", *[f"userRatedproduct{i}" for i in (2, 3, 4, 5)])),
+    "random_walks": lambda s, sf: W.random_walks(s, Q.pair_counts(_r(s, sf), ORDER)).select(
+        "walk_id", F.array_join("path", " ").alias("path"), F.size("path").alias("length")),
 }
 
 ORACLE: dict[str, str] = {
@@ -106,4 +153,7 @@ ORACLE: dict[str, str] = {
     **oracle.basic_sql(),
     **oracle.sequence_sql(),
     **oracle.embedding_sql(),
+    **oracle.encoder_sql(),
+    **oracle.split_sql(),
+    "random_walks": oracle.walk_sql(),
 }
