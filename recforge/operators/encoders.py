@@ -150,6 +150,18 @@ def assemble(samples: DataFrame, out: str = "features", cross: bool = True) -> D
     num = numeric_sample_features(samples)
     cols = list(NUMERIC_FEATURES)
     if cross:
-        num = num.withColumn("_cross", indicator(crossed(F.col("productId"), F.col("userRatedproduct1")), CROSS_BUCKETS))
+        num = num.withColumn("_crossIdx", crossed(F.col("productId"), F.col("userRatedproduct1")))
+        num = cross_encoder().transform(num)
         cols.append("_cross")
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(num).drop("_cross")
+    return VectorAssembler(inputCols=cols, outputCol=out).transform(num).drop("_cross", "_crossIdx")
+
+
+def cross_encoder():
+    """Sparse one-hot of the cross bucket with a fixed width of CROSS_BUCKETS
+    (fitted on a one-row frame holding the top bucket, so the width never
+    depends on which buckets the data happens to hit)."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    top = spark.range(1).select(F.lit(CROSS_BUCKETS - 1).cast("int").alias("_crossIdx"))
+    return OneHotEncoder(inputCols=["_crossIdx"], outputCols=["_cross"], dropLast=False).fit(top)

@@ -324,3 +324,26 @@ walk(w, step, item) AS (
   WHERE walk.step + 1 < {length})
 SELECT w AS walk_id, string_agg(CAST(item AS VARCHAR), ' ' ORDER BY step) AS path, CAST(count(*) AS INTEGER) AS length
 FROM walk GROUP BY w"""
+
+
+# ---------------------------------------------------------------- model baselines
+def baseline_rmse_sql() -> str:
+    key = row_key("userId", "productId", "ts", "l_orderkey", "l_linenumber")
+    part = pmod(int_hash(key, "0", 7), "1000")
+    return with_views(RATINGS) + f""", s AS (SELECT *, CASE WHEN {part} < 800 THEN 'train' ELSE 'test' END AS split FROM ratings),
+        m AS (SELECT productId, avg(rating) AS pm FROM s WHERE split = 'train' GROUP BY productId)
+        SELECT round(sqrt(avg((pm - rating) * (pm - rating))), 6) AS rmse, count(*) AS n
+        FROM s JOIN m USING (productId) WHERE split = 'test'"""
+
+
+def baseline_logloss_sql() -> str:
+    key = row_key("userId", "productId", '"timestamp"')
+    part = pmod(int_hash(key, "0", 1), "1000")
+    return with_views(*SAMPLE_BASE, sample_windows()) + f""", s0 AS (
+        SELECT userId, productId, ts AS "timestamp", label FROM ranked),
+        s AS (SELECT *, CASE WHEN {part} < 800 THEN 'train' ELSE 'test' END AS split FROM s0),
+        r AS (SELECT productId, avg(label) AS p FROM s WHERE split = 'train' GROUP BY productId),
+        t AS (SELECT label, p, least(greatest(p, 1e-15), 1 - 1e-15) AS pc FROM s JOIN r USING (productId) WHERE split = 'test')
+        SELECT round(avg(-(label * ln(pc) + (1 - label) * ln(1 - pc))), 6) AS logloss,
+               round(avg(CASE WHEN (CASE WHEN p >= 0.5 THEN 1 ELSE 0 END) = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+               count(*) AS n FROM t"""

@@ -16,6 +16,9 @@ from recforge.operators import products as P
 from recforge.operators import sequences as Q
 from recforge.operators import splits as SP
 from recforge.operators import walks as W
+from recforge.operators import als as AL
+from recforge.operators import ctr as CTR
+from recforge.operators import item2vec as I2V
 from pyspark.ml.functions import vector_to_array
 
 from recforge.plans import oracle
@@ -62,6 +65,81 @@ ORDER = list(fx.RATING_ORDER)
 KEY = ["userId", "productId", "timestamp"]
 
 
+def _als(spark, sf):
+    train, test = AL.train_test(_r(spark, sf))
+    return AL.fit_als(train), train, test
+
+
+def _rounded_recs(df):
+    return df.withColumn("rating", F.round(F.col("rating").cast("double"), 4))
+
+
+def _subset(spark, sf, col):
+    model, train, _ = _als(spark, sf)
+    ids = AL.distinct_ids(train, col)
+    return AL.user_subset_recs(model, ids) if col == "userIdInt" else AL.item_subset_recs(model, ids)
+
+
+def _baseline_rmse(spark, sf):
+    train, test = AL.train_test(_r(spark, sf))
+    means = train.groupBy("productId").agg(F.avg("rating").alias("prediction"))
+    out = AL.rmse(test.join(means, "productId"), label="rating")
+    return out.select(F.round("rmse", 6).alias("rmse"), "n")
+
+
+def _i2v(spark, sf):
+    return I2V.item2vec(Q.item_sequences(_r(spark, sf), ORDER))
+
+
+def _emb_out(emb):
+    return emb.select("productId", F.size("emb").alias("dims"), F.round(F.sqrt(V.dot(F.col("emb"), F.col("emb"))), 4).alias("norm"))
+
+
+def _similar(spark, sf):
+    model = _i2v(spark, sf)
+    vocab = model.getVectors().select("word")
+    # the most frequent positive item that made it into the vocabulary
+    pos = _r(spark, sf).where(F.col("rating") >= 3.5).select(F.col("productId").cast("string").alias("word"))
+    top = pos.join(vocab, "word").groupBy("word").count().orderBy(F.desc("count"), "word").first()["word"]
+    return I2V.similar_items(model, top).select("word", F.round("similarity", 4).alias("similarity"))
+
+
+def _lsh_buckets(spark, sf):
+    model, vec = I2V.lsh_model(fx.item_vectors(spark, sf))
+    out = model.transform(vec)
+    hashes = F.transform("bucketId", lambda v: vector_to_array(v)[0].cast("long").cast("string"))
+    return out.select("productId", F.array_join(hashes, ",").alias("buckets"))
+
+
+def _lsh_neighbours(spark, sf):
+    model, vec = I2V.lsh_model(fx.item_vectors(spark, sf))
+    key = fx.item_vectors(spark, sf).where("productId = 0").first()["emb"]
+    return I2V.approx_neighbours(model, vec, [float(x) for x in key]).select("productId", F.round("distance", 6).alias("distance"))
+
+
+def _sample_split(spark, sf):
+    split = SP.hash_split(_samples(spark, sf), KEY, seed=1)
+    return split.where("split = 'train'"), split.where("split = 'test'")
+
+
+def _ctr(spark, sf, kind):
+    train, test = _sample_split(spark, sf)
+    fit = {"fm": CTR.ctr_fm, "mlp": CTR.ctr_mlp, "linear": CTR.ctr_linear}[kind]
+    return CTR.binary_metrics(spark, CTR.predict(fit(train), test, kind), kind)
+
+
+def _preview(spark, sf):
+    train, test = _sample_split(spark, sf)
+    return CTR.score_preview(CTR.predict(CTR.ctr_linear(train), test, "linear"), ["userId", "timestamp", "productId"])
+
+
+def _baseline_logloss(spark, sf):
+    train, test = _sample_split(spark, sf)
+    rate = train.groupBy("productId").agg(F.avg("label").alias("p"))
+    out = CTR.logloss_accuracy(test.join(rate, "productId"))
+    return out.select(F.round("logloss", 6).alias("logloss"), F.round("accuracy", 6).alias("accuracy"), "n")
+
+
 def _one_hot(spark, sf):
     enc = ENC.one_hot(fx.products(spark, sf), "productId", "v")
     arr = vector_to_array("v")
@@ -145,9 +223,30 @@ QUERIES: dict[str, Query] = {
         "userId", "productId", "timestamp", *[f"userRatedproduct{i}" for i in (2, 3, 4, 5)])),
     "random_walks": lambda s, sf: W.random_walks(s, Q.pair_counts(_r(s, sf), ORDER)).select(
         "walk_id", F.array_join("path", " ").alias("path"), F.size("path").alias("length")),
+    # models and evaluation
+    "als_user_recs": lambda s, sf: _rounded_recs(AL.user_recs(_als(s, sf)[0])),
+    "als_item_recs": lambda s, sf: _rounded_recs(AL.item_recs(_als(s, sf)[0])),
+    "als_user_subset_recs": lambda s, sf: _rounded_recs(_subset(s, sf, "userIdInt")),
+    "als_item_subset_recs": lambda s, sf: _rounded_recs(_subset(s, sf, "productIdInt")),
+    "als_rmse": lambda s, sf: AL.rmse(_als(s, sf)[0].transform(_als(s, sf)[2])),
+    "als_cross_validation": lambda s, sf: AL.cross_validate(s, _als(s, sf)[1]),
+    "baseline_rmse": _baseline_rmse,
+    "item2vec": lambda s, sf: _emb_out(I2V.embeddings_from_model(_i2v(s, sf))),
+    "graph_embedding": lambda s, sf: _emb_out(I2V.embeddings_from_model(I2V.graph_embedding(
+        W.random_walks(s, Q.pair_counts(_r(s, sf), ORDER))))),
+    "similar_items": _similar,
+    "lsh_buckets": _lsh_buckets,
+    "lsh_neighbours": _lsh_neighbours,
+    "ctr_fm_metrics": lambda s, sf: _ctr(s, sf, "fm"),
+    "ctr_mlp_metrics": lambda s, sf: _ctr(s, sf, "mlp"),
+    "ctr_linear_metrics": lambda s, sf: _ctr(s, sf, "linear"),
+    "ctr_score_preview": _preview,
+    "baseline_logloss": _baseline_logloss,
 }
 
 ORACLE: dict[str, str] = {
+    "baseline_rmse": oracle.baseline_rmse_sql(),
+    "baseline_logloss": oracle.baseline_logloss_sql(),
     "training_samples": oracle.training_samples_sql(),
     "minimum_slice": oracle.minimum_slice_sql(),
     **oracle.basic_sql(),
