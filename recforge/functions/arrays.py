@@ -14,15 +14,18 @@ def first_n(arr: Column, n: int, prefix: str) -> list[Column]:
 def rank_by_frequency(words: Column) -> Column:
     """Distinct words ordered by count descending, ties by first appearance.
 
-    ``words`` must be a plain column reference (not a computed expression):
-    it is read once per distinct word, so computing it inline would repeat
-    the work.  Cost is |distinct| x |words| per row.
+    ``words`` must be a plain column reference (computed once per row).  A
+    word's count is ``size(words) - size(array_remove(words, word))``: one
+    native scan per distinct word, no lambda per element.
     """
     distinct = F.array_distinct(words)  # keeps first-appearance order
+    n = F.size(words)
     keyed = F.transform(
         distinct,
         lambda w, i: F.struct(
-            (-F.size(F.filter(words, lambda x: x == w))).alias("n"), i.alias("pos"), w.alias("w")
+            (F.size(F.array_remove(words, w)) - n).alias("n"),
+            i.alias("pos"),
+            w.alias("w"),
         ),
     )
     return F.transform(F.array_sort(keyed), lambda s: s["w"])

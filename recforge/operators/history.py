@@ -35,6 +35,8 @@ def add_user_features(
     userRatingStddev, userType1..n; drops ``types``; keeps rows with more
     than ``min_history`` preceding ratings."""
     framed = chunk_frames(df, "userId", list(order_cols), preceding=history, rows_per_chunk=rows_per_chunk)
+    # split each product's types once, not once per frame that contains it
+    framed = framed.withColumn("_typeArr", F.split("types", "\\" + TYPE_SEPARATOR))
     w = Window.partitionBy("userId", CHUNK).orderBy(*order_cols).rowsBetween(-history, -1)
     positive = F.col("label") == 1
     keep = [c for c in df.columns if c != "types"]
@@ -47,11 +49,9 @@ def add_user_features(
         fmt2(F.stddev("releaseYear").over(w)).alias("userReleaseYearStddev"),
         fmt2(F.avg("rating").over(w)).alias("userAvgRating"),
         fmt2(F.stddev("rating").over(w)).alias("userRatingStddev"),
-        F.collect_list(F.when(positive, F.col("types"))).over(w).alias("_types"),
+        F.collect_list(F.when(positive, F.col("_typeArr"))).over(w).alias("_types"),
     ).where(~F.col(CTX) & (F.col("userRatingCount") > min_history))
-    step2 = step1.withColumn(
-        "_words", F.flatten(F.transform("_types", lambda t: F.split(t, "\\" + TYPE_SEPARATOR)))
-    )
+    step2 = step1.withColumn("_words", F.flatten("_types"))
     step3 = step2.withColumn("_ranked", rank_by_frequency(F.col("_words")))
     return step3.select(
         *keep,
