@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recforge.operators.frames import DEFAULT_ROWS_PER_CHUNK
 from recforge.operators.history import HISTORY_ROWS, add_user_features
 from recforge.operators.labels import add_label
-from recforge.operators.products import add_product_rating_features, join_products
+from recforge.operators.products import join_products, product_rating_features
 
 # Column order of a sample row (producer -> consumer contract).
 SAMPLE_COLUMNS = (
@@ -33,9 +33,13 @@ def training_samples(
     """One wide row per rating event after a user's second: the event, its
     product's features and the user's history just before it."""
     labelled = add_label(ratings)
-    with_products = add_product_rating_features(join_products(labelled, products))
-    with_user = add_user_features(with_products, order_cols, history=history, rows_per_chunk=rows_per_chunk)
-    return with_user.withColumnRenamed("ts", "timestamp").select(*SAMPLE_COLUMNS)
+    with_user = add_user_features(join_products(labelled, products), order_cols, history=history,
+                                  rows_per_chunk=rows_per_chunk)
+    # Product statistics cover every rating (not just the kept rows) and are
+    # joined after the window: when the per-product table is small, AQE turns
+    # this join into a broadcast and the windowed rows are not shuffled again.
+    with_stats = with_user.join(product_rating_features(labelled), on=["productId"], how="left")
+    return with_stats.withColumnRenamed("ts", "timestamp").select(*SAMPLE_COLUMNS)
 
 
 def minimum_slice(ratings: DataFrame, products: DataFrame, order_cols: Sequence[str] = ("ts",),
