@@ -178,10 +178,10 @@ uemb AS (SELECT userId, list(value ORDER BY dim) AS emb FROM ue GROUP BY userId)
 
 def embedding_sql() -> dict[str, str]:
     return {
-        "ratings_with_vectors": with_views(RATINGS) + """SELECT r.*, len(e.embedding) AS dims,
+        "ratings_with_vectors": with_views(RATINGS) + """SELECT r.*, CAST(len(e.embedding) AS INTEGER) AS dims,
             round(sqrt(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm
             FROM ratings r JOIN embeddings e ON e.vec_id = r.productId""",
-        "user_embeddings": with_views(RATINGS, USER_EMB) + "SELECT userId, dim, round(value, 6) AS value FROM ue",
+        "user_embeddings": with_views(RATINGS, USER_EMB) + "SELECT userId, CAST(dim AS INTEGER) AS dim, round(value, 6) AS value FROM ue",
         "nearest_k": f"""WITH q AS (SELECT embedding AS qv FROM embeddings WHERE vec_id = 0),
             d AS (SELECT vec_id, sqrt({_sqdist('embedding', 'qv')}) AS dist FROM embeddings, q)
             SELECT vec_id, round(dist, 6) AS distance FROM d ORDER BY dist, vec_id LIMIT 5""",
@@ -194,7 +194,7 @@ def embedding_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT userId, productId FROM ratings) p
             JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId),
             rk AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, productId) AS rank FROM sc)
-            SELECT userId, productId, round(score, 6) AS score, rank FROM rk WHERE rank <= 10""",
+            SELECT userId, productId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""",
         "fm_interaction": with_views(RATINGS, USER_EMB) + f""", f AS (
             SELECT p.userId, p.productId, u.emb AS a, e.embedding AS b
             FROM (SELECT DISTINCT userId, productId FROM ratings) p
