@@ -19,9 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def epoch_seconds(col: Column) -> Column:
-    """Seconds since 1970-01-01 for a TIMESTAMP_NTZ column, independent of
-    the session time zone."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col)
+    """Seconds since 1970-01-01 for a TIMESTAMP_NTZ column, computed from its
+    calendar fields so the session time zone (and its DST) never enters."""
+    days = F.unix_date(F.to_date(col)).cast("long")
+    return days * 86400 + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
