@@ -55,11 +55,14 @@ def time_quantile(df: DataFrame, col: str = "timestamp", q: float = TIME_QUANTIL
     return df.agg(F.percentile_approx(col, q, int(round(1 / err)))).scalar()
 
 
-def time_split(df: DataFrame, col: str = "timestamp", q: float = TIME_QUANTILE, exact: bool = True,
+def time_split(df: DataFrame, col: str = "timestamp", q: float = TIME_QUANTILE, exact: bool = False,
                err: float = QUANTILE_ERROR) -> DataFrame:
     """``split`` = 'train' when col <= split point, else 'test'.  The
-    split point is the exact lower quantile (percentile_disc semantics) or
-    the approximate one; either is a scalar subquery, no driver round trip."""
+    split point is the approximate quantile (the reference's rule; a
+    bounded sketch merged map-side) or, with ``exact``, the exact lower
+    quantile (percentile_disc: memory grows with the number of distinct
+    values, so use it where those are bounded, e.g. dates).  Either is a
+    scalar subquery, no driver round trip."""
     if exact:
         point = df.agg(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {col})")).scalar()
     else:

@@ -216,7 +216,8 @@ QUERIES: dict[str, Query] = {
     # sampling and splitting
     "split_samples": lambda s, sf: SP.hash_split(
         SP.hash_sample(_samples(s, sf), KEY, seed=0), KEY, seed=1).select("userId", "productId", "timestamp", "label", "split"),
-    "time_split": lambda s, sf: SP.time_split(_samples(s, sf).select("userId", "productId", "timestamp", "label")),
+    "time_split": lambda s, sf: SP.time_split(_samples(s, sf).select("userId", "productId", "timestamp", "label"),
+                                              exact=True),
     "time_split_approx": lambda s, sf: SP.time_split(
         _samples(s, sf).select("userId", "productId", "timestamp", "label"), exact=False),
     "negative_items": lambda s, sf: SP.negative_items(_samples(s, sf).select(
