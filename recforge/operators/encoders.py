@@ -116,11 +116,23 @@ def vocab_index(col: Column, vocab: list[str] = TYPE_VOCABULARY) -> Column:
     return F.coalesce(F.array_position(F.array(*[F.lit(v) for v in vocab]), col) - 1, F.lit(-1)).cast("int")
 
 
-def indicator(index: Column, n: int) -> Column:
-    """One-hot of an index as a sparse vector; out of range -> all zeros."""
-    ok = (index >= 0) & (index < n)
-    arr = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(ok & (i == index), 1.0).otherwise(0.0))
-    return array_to_vector(arr)
+def indicator(df: DataFrame, index: str, n: int, out: str) -> DataFrame:
+    """One-hot of an index in [0, n) as a sparse vector of width n; an
+    unknown (out of range or null) index gives all zeros.
+
+    Unknown indices map to category n, which ``dropLast`` encodes as the
+    zero vector; the encoder is fitted on a one-row frame holding n, so the
+    width is fixed whatever the data holds.
+    """
+    from pyspark.sql import SparkSession
+
+    tmp = f"_{out}_idx"
+    ok = (F.col(index) >= 0) & (F.col(index) < n)
+    mapped = df.withColumn(tmp, F.when(ok, F.col(index)).otherwise(F.lit(n)).cast("int"))
+    spark = SparkSession.getActiveSession()
+    top = spark.range(1).select(F.lit(n).cast("int").alias(tmp))
+    enc = OneHotEncoder(inputCols=[tmp], outputCols=[out], dropLast=True).fit(top)
+    return enc.transform(mapped).drop(tmp)
 
 
 def crossed(a: Column, b: Column, buckets: int = CROSS_BUCKETS, seed: int = 0) -> Column:

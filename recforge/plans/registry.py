@@ -207,9 +207,10 @@ QUERIES: dict[str, Query] = {
         ENC.identity_index(F.col("userId"), ENC.USER_ID_BUCKETS).alias("userIdx")),
     "vocab_index": lambda s, sf: ENC.product_types(fx.products(s, sf)).select(
         "productId", "type", ENC.vocab_index(F.col("type")).alias("vocabIndex")),
-    "indicator": lambda s, sf: ENC.index_types(ENC.product_types(fx.products(s, sf)))[0].select(
+    "indicator": lambda s, sf: ENC.indicator(
+        ENC.index_types(ENC.product_types(fx.products(s, sf)))[0], "typeIndexInt", 10, "v").select(
         "productId", "type", F.col("typeIndexInt").alias("typeIndex"),
-        (F.array_position(vector_to_array(ENC.indicator(F.col("typeIndexInt"), 10)), 1.0) - 1).cast("int").alias("hot")),
+        F.coalesce(F.get(ENC.sparse_indices(F.col("v")), 0), F.lit(-1)).cast("int").alias("hot")),
     "crossed": lambda s, sf: _samples(s, sf).select(
         "userId", "productId", "timestamp", "userRatedproduct1",
         ENC.crossed(F.col("productId"), F.col("userRatedproduct1")).alias("cross")),
