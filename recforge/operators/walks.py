@@ -108,9 +108,8 @@ def random_walks(
     """
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    pairs = pairs.select("src", "dst", "cnt").checkpoint()
-    edges = edge_cdf(pairs).checkpoint()
-    starts = start_cdf(pairs, parts)  # partition ids fixed by the checkpoint inside
+    edges = edge_cdf(pairs.select("src", "dst", "cnt")).checkpoint()
+    starts = start_cdf(edges, parts)  # partition ids fixed by the checkpoint inside
     grand = starts.agg(F.max("hi")).scalar()
     # partition lower bounds, sorted: (lo, _p); one entry per range partition
     bounds = starts.groupBy("_p").agg((F.min(F.col("hi") - F.col("cnt"))).alias("lo")).agg(
