@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recforge.llm import arrowfile, bpe, tokencount
+from recforge.llm import arrowfile, bpe, pii, quality, tokencount
 from recforge.llm.common import scratch, table
 from recforge.llm.words import tokenizer_path
 
@@ -15,16 +15,31 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, tokenizer_path("word_bpe_49k.json"), bpe.digests, bpe.DIGESTS_DDL)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    judged = quality.judge(table(spark, sf_dir, "documents"), measures=measures)
+    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select("doc_id", *measures, base.alias("base_failed"), "kept")
+
+
 def op4_arrow_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     index = arrowfile.write_ids(docs, tokenizer_path("byte_bpe_50k.json"), scratch(spark, "ids"))
     return arrowfile.read_digests(index)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = pii.listed(pii.of_kinds(F.col("spans"), pii.BASE))
+    counts = [F.size(pii.of_kinds(F.col("spans"), (k,))).cast("bigint").alias(f"n_{k.name}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = tokencount.count_tokens(docs, tokenizer_path("byte_bpe_50k.json"), scratch(spark, "counts"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op4_arrow_ids, op7_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op3_quality, op4_arrow_ids, op5_pii, op7_token_counts)}
