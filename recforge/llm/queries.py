@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recforge.llm import arrowfile, bpe, pii, quality, simhash, tokencount
+from recforge.llm import arrowfile, bpe, decontam, licenses, pii, quality, simhash, tokencount
 from recforge.llm.common import scratch, table
 from recforge.llm.words import tokenizer_path
 
@@ -15,6 +15,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, tokenizer_path("word_bpe_49k.json"), bpe.digests, bpe.DIGESTS_DDL)
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.base)
+    labels = lambda spans: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(spans, lambda s: s.label))))
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(F.transform(base, lambda s: s.start)).alias("first_word"),
+        F.array_max(F.transform(base, lambda s: s.start)).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s.score)), F.lit(0.0)).alias("score"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = quality.judge(table(spark, sf_dir, "documents"), measures=measures)
@@ -47,4 +59,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_quality, op4_arrow_ids, op5_pii, op7_token_counts, op9_simhash)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_licenses, op3_quality, op4_arrow_ids, op5_pii, op7_token_counts, op9_simhash, op10_decontamination)}
