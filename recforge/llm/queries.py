@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recforge.llm import arrowfile, bpe, decontam, licenses, pii, quality, simhash, tokencount
+from recforge.llm import arrowfile, bpe, decontam, licenses, pii, quality, repeats, simhash, tokencount
 from recforge.llm.common import scratch, table
 from recforge.llm.words import tokenizer_path
 
@@ -54,6 +54,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -63,4 +67,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_licenses, op3_quality, op4_arrow_ids, op5_pii, op7_token_counts, op9_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_licenses, op3_quality, op4_arrow_ids, op5_pii, op7_token_counts, op8_repeats, op9_simhash, op10_decontamination)}
