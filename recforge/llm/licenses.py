@@ -47,27 +47,30 @@ class Template:
 
 # Phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-# Opening notices of widely used licenses and their labels.
-NOTICES = {
-    "apache-2.0": "licensed under the apache license version 2.0 the license you may not use this file except in "
-                  "compliance with the license you may obtain a copy of the license at",
-    "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided "
-           "that the following conditions are met",
-    "cc-by": "this work is licensed under a creative commons attribution 4.0 international license",
-    "cc-by-sa": "this work is licensed under a creative commons attribution sharealike 4.0 international license",
-    "gpl": "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
-           "public license as published by the free software foundation",
-    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is "
-           "hereby granted provided that the above copyright notice and this permission notice appear in all copies",
-    "lgpl": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser "
-            "general public license as published by the free software foundation",
-    "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-           "documentation files the software to deal in the software without restriction",
-    "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2.0",
-    "unlicense": "this is free and unencumbered software released into the public domain",
-}
+# Notices of widely used licenses and their labels.
+NOTICES = (
+    ("apache-2.0", "licensed under the apache license version 2.0"),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
+            "that the following conditions are met"),
+    ("cc-by", "licensed under a creative commons attribution 4.0 international license"),
+    ("cc-by-nc", "licensed under cc by nc 4.0"),
+    ("cc-by-sa", "licensed under a creative commons attribution sharealike 4.0 international license"),
+    ("gpl-3.0", "licensed under the gnu general public license version 3"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
+            "public license as published by the free software foundation"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+            "hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser "
+             "general public license as published by the free software foundation"),
+    ("mit", "released under the mit license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the software to deal in the software without restriction"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2.0"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+)
 TEMPLATES = (*(Template(label, tuple(grams.words_of(p)), True) for p, label in BASE.items()),
-             *(Template(label, tuple(grams.words_of(p))) for label, p in NOTICES.items()))
+             *(Template(label, tuple(grams.words_of(p))) for label, p in NOTICES))
 
 
 def seeds(spark, templates: tuple[Template, ...]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recforge.llm import arrowfile, bpe, decontam, licenses, pii, quality, repeats, simhash, tokencount
+from recforge.llm import arrowfile, bpe, classlm, decontam, licenses, pii, quality, repeats, simhash, tokencount
 from recforge.llm.common import scratch, table
 from recforge.llm.words import tokenizer_path
 
@@ -48,6 +48,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.listed(F.col("spans")).alias("spans"))
 
 
+def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classlm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counts = tokencount.count_tokens(docs, tokenizer_path("byte_bpe_50k.json"), scratch(spark, "counts"))
@@ -67,4 +71,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_licenses, op3_quality, op4_arrow_ids, op5_pii, op7_token_counts, op8_repeats, op9_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op2_licenses, op3_quality, op4_arrow_ids, op5_pii, op6_class_lm, op7_token_counts, op8_repeats,
+    op9_simhash, op10_decontamination)}
