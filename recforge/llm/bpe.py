@@ -140,9 +140,8 @@ def encode(docs: DataFrame, tokenizer: str, summary, summary_ddl: str, leaf: int
     distinct ones, so copies are encoded once, and their pieces are spread.
     """
     rows = C.texts(docs)
-    fields = summary_ddl if summary_ddl.startswith("struct<") else f"struct<{summary_ddl}>"
-    names = [f.split(":")[0].strip() for f in fields[7:-1].split(",")]
-    ddl = ", ".join(f.replace(":", " ") for f in fields[7:-1].split(","))
+    names = [f.split(":")[0].strip() for f in summary_ddl.split(",")]
+    ddl = summary_ddl.replace(":", " ")
 
     def frame(ids_list: list[np.ndarray]) -> list[pa.Array]:
         out = [summary(ids, tokenizer) for ids in ids_list]
@@ -189,3 +188,11 @@ def digests(ids: np.ndarray, tokenizer: str) -> dict:
 
 
 DIGESTS_DDL = "n_tokens: bigint, ids_sha256: string, decoded_sha256: string"
+
+
+def packed(ids: np.ndarray, tokenizer: str) -> dict:
+    """The ids themselves, as little-endian unsigned 32-bit integers."""
+    return {"n_tokens": len(ids), "ids": ids.astype("<u4").tobytes()}
+
+
+PACKED_DDL = "n_tokens: bigint, ids: binary"

@@ -1,5 +1,9 @@
 """What the driver's entry module registers from this subpackage."""
 
-from recforge.llm.queries import QUERIES
+import corpus_pipeline
+from recforge.llm import queries, sql
 
-ORACLE: dict[str, str] = {}
+QUERIES = {**queries.QUERIES, "pipeline": corpus_pipeline.run}
+ORACLE: dict[str, str] = dict(sql.ORACLE)
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -61,18 +61,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * set_bits > len(h), bitorder="little").view("<u8")[0])
 
 
-_FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_FP = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("fp", pa.int64())])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for each row; ``fp`` as a signed long."""
-    def run(doc_id, text):
+    """(doc_id, h, fp) for each row: a hash of the text, and the fingerprint as a signed long."""
+    def run(doc_id, h, text):
         data, at = C.flat(text)
         raw = data.tobytes()
         fps = np.array([fingerprint(raw[a:b], shingle) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], np.uint64)
-        return {"doc_id": doc_id, "fp": pa.array(fps.view(np.int64))}
+        return {"doc_id": doc_id, "h": h, "fp": pa.array(fps.view(np.int64))}
 
-    return C.texts(docs).mapInArrow(C.by_batch(run, _FP, "doc_id", "text"), "doc_id bigint, fp bigint")
+    return C.texts(docs).select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(
+        C.by_batch(run, _FP, "doc_id", "h", "text"), "doc_id bigint, h bigint, fp bigint")
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
@@ -262,12 +263,35 @@ def links(fps: DataFrame, radius: int = RADIUS, full: int = FULL) -> DataFrame:
 
 
 def grouped(fps: DataFrame, radius: int = RADIUS, full: int = FULL) -> DataFrame:
-    """(fp, component_id) of a written table (doc_id, fp): the least doc_id that links reach."""
+    """(fp, component, component_id) of a written table (doc_id, fp): the component's least
+    fingerprint, and the least doc_id that links reach."""
     nodes = C.written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     parts = components(links(nodes.select("fp"), radius, full)).withColumnRenamed("node", "fp")
     tied = nodes.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = tied.groupBy("component").agg(F.min("first").alias("component_id"))
-    return tied.join(least, "component").select("fp", "component_id")
+    return tied.join(least, "component").select("fp", "component", "component_id")
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each component, all columns as they are: that of the least id (a null id comes last),
+    of rows with one id that of the least text hash, and any one of repeated rows."""
+    h = F.xxhash64(F.coalesce("text", F.lit("")))
+    fps = C.written(fingerprints(docs, shingle), "fingerprints")
+    members = fps.join(grouped(fps, radius), "fp").groupBy("component", "doc_id", "h").agg(F.count("*").alias("rows"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "rows")
+    chosen = members.groupBy("component").agg(F.min(first).alias("c")).select("c.doc_id", "c.h", "c.rows")
+    chosen = C.written(chosen, "chosen")
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs["doc_id"].alias("doc_id"), h.alias("h"))
+
+    def of(some: DataFrame) -> DataFrame:
+        return rows.join(some, rows["doc_id"].eqNullSafe(some["doc_id"]) & (rows["h"] == some["h"])) \
+            .select("row", rows["doc_id"], rows["h"])
+
+    once = of(chosen.where("rows = 1")).select("row.*")
+    more = chosen.where("rows > 1")
+    if more.isEmpty():
+        return once
+    return once.unionByName(of(more).groupBy("doc_id", "h").agg(F.first("row").alias("row")).select("row.*"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
