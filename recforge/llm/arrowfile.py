@@ -108,7 +108,8 @@ def stretch(path: str, at: int, n: int) -> list[np.ndarray]:
     return views
 
 
-def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, length: int = 2048) -> DataFrame:
+def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, length: int = 2048,
+              file_ids: int = FILE_IDS) -> DataFrame:
     """Write the ids of ``docs`` under ``folder``; returns the index as a table read from there.
 
     The index has a row for each document: doc_id, file, shard and file_no (the
@@ -128,7 +129,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, len
         for batch in batches:
             rows = {name: [] for name in _INDEX.names}
             for doc_id, text, shard in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if writer and writer.size >= FILE_IDS:
+                if writer and writer.size >= file_ids:
                     writer.close()
                     writer, number = None, number + 1
                 if not writer:

@@ -250,7 +250,7 @@ def marked_by_count(dictionary: DataFrame) -> DataFrame:
         .agg(F.transform(F.array_sort(F.collect_set("at")), lambda x: F.array(x, x + 1)).alias("ranges"))
 
 
-def text_marks(rows: DataFrame) -> DataFrame:
+def text_marks(rows: DataFrame, full: int = FULL) -> DataFrame:
     """(tid, marks) of (tid, text): ranges [from, to) of window starts that are repeated in distinct texts."""
     found = phrases(rows)
     occurrence = F.xxhash64("tid", "start")
@@ -263,8 +263,8 @@ def text_marks(rows: DataFrame) -> DataFrame:
     parsed_entries = C.written(entries(texts, wanted), "entries")
     dictionary = C.written(parsed_entries.groupBy("trigger", "entry", "n").agg(
         F.first("raw").alias("raw"), F.count("*").alias("count")), "dictionary")
-    sizes = dictionary.groupBy("trigger").agg(F.count("*").alias("size"), F.sum("count").alias("total"))
-    hot = C.written(sizes.where(F.col("size") > FULL).select("trigger"), "hot")
+    sizes = dictionary.groupBy("trigger").agg(F.count("*").alias("size"))
+    hot = C.written(sizes.where(F.col("size") > full).select("trigger"), "hot")
     marks = marked_in_order(dictionary.join(hot, "trigger", "left_anti")) \
         .unionByName(marked_by_count(dictionary.join(hot, "trigger", "left_semi")))
     return parsed_entries.select("tid", "start", "entry").join(marks, "entry").groupBy("tid") \
@@ -305,13 +305,13 @@ def cut_texts(texts: DataFrame, marks: DataFrame) -> DataFrame:
         C.by_batch(run, _CUT, "tid", "text", "marks"), "tid bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, full: int = FULL) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row."""
     rows = C.texts(docs).withColumn("tid", F.xxhash64("text"))
     long = rows.where(F.octet_length("text") >= N).select("tid", "text")
     # A text that two rows hold goes as a whole, whatever else it shares.
     copied = long.groupBy("tid").agg(F.count("*").alias("rows")).where("rows > 1").select("tid")
-    marks = C.written(text_marks(long), "marks")
+    marks = C.written(text_marks(long, full), "marks")
     partly = marks.join(copied, "tid", "left_anti")
     texts = long.join(partly.select("tid"), "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text"))
     cut = cut_texts(texts, partly)

@@ -1,0 +1,200 @@
+"""License scans, quality rules and personal data against plain versions."""
+
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from recforge.llm import grams, licenses, pii, quality, queries
+
+from .conftest import TEXTS, frame, rows_of
+
+SMALL = "/root/testdata/sf0.001"
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lowered(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def phrases(text):
+    w, out = WORDS.findall(lowered(text)), []
+    for phrase, label in licenses.BASE.items():
+        p = phrase.split()
+        out += [(i, label) for i in range(len(w)) if w[i:i + len(p)] == p]
+    at = [i for i, _ in out]
+    return len(w), len(out), min(at, default=None), max(at, default=None), ",".join(sorted({k for _, k in out}))
+
+
+def base_rows(found):
+    out = []
+    for r in found.collect():
+        base = [s for s in r.spans if s.base]
+        at = [s.start for s in base]
+        out.append((r.doc_id, r.n_words, len(base), min(at, default=None), max(at, default=None), ",".join(sorted({s.label for s in base}))))
+    return sorted(out, key=repr)
+
+
+def test_license_phrases_on_messy(messy):
+    assert base_rows(licenses.scan(messy)) == sorted(((i, *phrases(t)) for i, t in TEXTS), key=repr)
+
+
+def test_license_phrases_close_together(spark):
+    texts = [(1, "cc by cc by cc by"), (2, "general public general public license all rights reserved all rights reserved"),
+             (3, "CC-BY; cc/by cc bye"), (4, "cc by " * 3000)]
+    assert base_rows(licenses.scan(frame(spark, texts))) == sorted(((i, *phrases(t)) for i, t in texts), key=repr)
+
+
+def test_notices_with_changes(spark):
+    notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"
+    words = notice.split()
+    changed = " ".join([*words[:9], "really", *words[9:20], *words[21:]])  # a word more and a word less
+    texts = [(1, "intro " + notice + " end"), (2, changed), (3, " ".join(words[:8])), (4, "to the software of the copy without any files")]
+    found = {r.doc_id: r for r in licenses.scan(frame(spark, texts)).collect()}
+    assert [s.label for s in found[1].spans] == ["mit"] and found[1].spans[0].score == 1.0 and found[1].spans[0].start == 1
+    assert [s.label for s in found[2].spans] == ["mit"] and 0.8 <= found[2].spans[0].score < 1.0
+    assert not found[3].spans and not found[4].spans
+
+
+def test_op2_on_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    got = rows_of(queries.op2_licenses(spark, SMALL), "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    assert got == sorted(((d.doc_id, *phrases(d.text)) for d in docs), key=repr)
+    for r in queries.op2_licenses(spark, SMALL).collect():
+        assert 0 <= r.score <= 1 and set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="aB é0-._漢\n", max_size=30), max_size=6))
+def test_flat_words(texts):
+    import pyarrow as pa
+    from recforge.llm.common import flat
+    data, bounds = flat(pa.array(texts, pa.string()))
+    h, n = grams.word_hashes(data, bounds)
+    assert n.tolist() == [len(WORDS.findall(lowered(t))) for t in texts]
+    words = [w for t in texts for w in WORDS.findall(lowered(t))]
+    assert len({(w, x) for w, x in zip(words, h.tolist())}) == len(set(words)) == len(set(h.tolist()))
+    assert [w for t in texts for w in grams.words_of(t)] == words
+
+
+def plain_measures(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+    many = {x for x in windows if windows.count(x) > 1} if len(windows) < 2000 else {
+        x for x, c in __import__("collections").Counter(windows).items() if c > 1}
+    covered = {i + k for i, x in enumerate(windows) if x in many for k in range(3)}
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(covered)
+
+
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def test_quality_measures(messy):
+    got = rows_of(quality.judge(messy, measures=MEASURES), "doc_id", *MEASURES)
+    assert got == sorted(((i, *plain_measures(t)) for i, t in TEXTS), key=repr)
+
+
+def test_order_changes_no_verdict(messy):
+    kept = {tuple(sorted(map(repr, quality.judge(messy, rules).where("kept").collect())))
+            for rules in (quality.RULES, quality.RULES[::-1])}
+    assert len(kept) == 1
+
+
+def test_order_is_by_rejections_per_cost(messy):
+    import time
+    slow = quality.Rule("slow", lambda d: time.sleep(0.003) or d.n_words < 50)
+    never = quality.Rule("never", lambda d: False)
+    quick = quality.Rule("quick", lambda d: d.n_words < 50)
+    assert [r.name for r in quality.ordered(messy, (never, slow, quick))] == ["quick", "slow", "never"]
+
+
+def test_short_circuit():
+    calls = []
+    rules = [quality.Rule(n, lambda d, n=n: calls.append(n) or n == "b") for n in "abc"]
+    assert quality.first_rejecting(quality.Doc("x"), rules) == "b" and calls == ["a", "b"]
+
+
+def test_quality_keeps_clean_rows_as_they_are(messy, empty):
+    kept = quality.keep(messy)
+    assert kept.schema == messy.schema
+    names = {r.doc_id for r in quality.judge(messy).where("kept").collect()}
+    assert {r.doc_id for r in kept.collect()} == names and 6 in names and 3 not in names
+    assert quality.keep(empty).collect() == [] and quality.judge(empty).collect() == []
+
+
+BASE_PATTERNS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+    "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(re.sub("[^0-9]", "", m)) <= 19 and luhn(re.sub("[^0-9]", "", m))),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15),
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(digits[::-1]):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def plain_pii(text):
+    return [(k, m.start(), m.end()) for k, (p, ok) in BASE_PATTERNS.items() for m in re.finditer(p, text or "") if ok(m[0])]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aB.@-+ ()_%0123456789é", max_size=50))
+def test_pii_spans(text):
+    base = {k.name for k in pii.BASE}
+    assert [s[:3] for s in pii.search(text) if s[0] in base] == plain_pii(text)
+
+
+def test_pii_on_messy_and_documents(spark, messy, empty):
+    for df, texts in ((messy, TEXTS), (spark.read.parquet(f"{SMALL}/documents.parquet"), None)):
+        texts = texts or [(r.doc_id, r.text) for r in df.collect()]
+        found = pii.find(df).collect()
+        base = {k.name for k in pii.BASE}
+        assert sorted(((r.doc_id, [tuple(s)[:3] for s in r.spans if s.kind in base]) for r in found), key=repr) == \
+            sorted(((i, plain_pii(t)) for i, t in texts), key=repr)
+    got = rows_of(queries.op5_pii(spark, SMALL), "doc_id", "base_sha256")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    assert got == sorted(((d.doc_id, hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in plain_pii(d.text)).encode()).hexdigest())
+                          for d in docs), key=repr)
+    assert pii.find(empty).collect() == []
+
+
+def test_checks_and_context():
+    assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765431")
+    assert [s[0] for s in pii.search("account GB82 WEST 1234 5698 7654 32 today")] == ["iban"]
+    assert pii.search("account GB82 WEST 1234 5698 7654 31 today") == []
+    assert [s[0] for s in pii.search("ssn 123-45-6789")] == ["ssn"] and pii.search("part 123-45-6789") == []
+    assert pii.search("666-45-6789 ssn") == [] and pii.search("a b 123-45-6789") == []
+    assert pii.search("card 4111 1111 1111 1111")[0][3] > pii.search("isbn 4111 1111 1111 1111")[0][3]
+    assert pii.masked("to x@y.zz or +1 555 010 9999.") == "to [EMAIL] or [PHONE]."
+
+
+def test_no_pattern_is_quadratic():
+    import time
+    began = time.time()
+    for text in ("a" * 200_000, "1" * 200_000, "1." * 100_000, "+1" * 100_000, "a@" * 100_000, "AB12" * 50_000, "1 " * 100_000):
+        pii.search(text)
+    assert time.time() - began < 20
+
+
+def test_redaction(messy, empty):
+    out = pii.redact(messy)
+    assert out.schema == messy.schema and out.count() == len(TEXTS)
+    for r in out.collect():
+        assert not plain_pii(r.text) and (r.text is None or r.n_chars == len(r.text))
+    assert pii.redact(empty).collect() == []
+
+
+@pytest.mark.parametrize("scan", [licenses.scan])
+def test_empty_scan(empty, scan):
+    assert scan(empty).collect() == []
