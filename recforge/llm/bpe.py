@@ -4,8 +4,8 @@ A text of more than ``leaf`` characters is cut in halves until the pieces are
 short enough, wherever the middle falls: inside a word too.  The pieces are
 rows, encoded in parallel, and neighbours are then joined level by level.
 
-A join concerns only the run of characters without a space that the cut falls
-into.  A short run is encoded anew.  For a long one, windows around the cut are
+A join concerns only the run of characters that the cut falls into: tokens never
+span a single space between other characters, so runs end there.  A short run is encoded anew.  For a long one, windows around the cut are
 encoded, each twice as wide as the one before, until the window agrees exactly
 with both sides: a token with the same place and id in the window and in the
 left piece, and one in the window and in the right piece, that touch neither
@@ -13,7 +13,7 @@ the cut nor an end of the window.  Merges depend on neighbouring tokens only (a
 sequence is the encoding if every adjacent pair is), so the left ids up to the
 first such token, the window's between the two, and the right ids from there on
 are the encoding of the whole.  A window that reaches the whole run is exact by
-itself, as is a run that isn't in normal form C, which is encoded whole.
+itself, as is a run with white space or not in normal form C, which is encoded whole.
 
 Nulls: a null text is empty; its digests are those of no bytes.  Repeated rows
 each get their row.  Empty table: no rows.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -64,8 +65,8 @@ def cuts(n: int, leaf: int = LEAF) -> list[int]:
 
 
 class Piece:
-    """Ids of a stretch of text.  ``head`` and ``tail`` are the runs at its ends, with their numbers
-    of ids; in a piece without a space they are the whole."""
+    """Ids of a stretch of text.  ``head`` and ``tail`` are the runs at its ends, up to the first and from
+    the last safe cut, with their numbers of ids; in a piece without one they are the whole."""
 
     def __init__(self, ids, head, n_head, tail, n_tail, whole):
         self.ids, self.head, self.n_head, self.tail, self.n_tail, self.whole = ids, head, n_head, tail, n_tail, whole
@@ -73,10 +74,10 @@ class Piece:
     @classmethod
     def leaf(cls, text: str, path: str) -> Piece:
         encode = words.encoder(path).ids
-        ids = encode(text)
-        if " " not in text:
+        ids, safe = encode(text), [m.start() for m in words.CUT.finditer(text)]
+        if not safe:
             return cls(ids, text, len(ids), text, len(ids), True)
-        head, tail = text[:text.index(" ")], text[text.rindex(" ") + 1:]
+        head, tail = text[:safe[0]], text[safe[-1]:]
         return cls(ids, head, len(encode(head)), tail, len(encode(tail)), False)
 
 
@@ -93,9 +94,9 @@ def clean(tokens: list[tuple[int, int, int]]) -> dict[tuple[int, int, int], int]
 
 
 def join_run(left: str, right: str, path: str, short: int = SHORT_RUN, width: int = WINDOW) -> np.ndarray:
-    """Ids of the run ``left + right``, which holds no space."""
+    """Ids of the run ``left + right``."""
     run, cut = left + right, len(left)
-    if len(run) > short and unicodedata.is_normalized("NFC", run) and "<|" not in run:
+    if len(run) > short and unicodedata.is_normalized("NFC", run) and "<|" not in run and not re.search(r"\s", run):
         a, b = spans(left, path), [(s + cut, e + cut, i) for s, e, i in spans(right, path)]
         left_at, right_at = clean(a), clean(b)
         while width < max(cut, len(run) - cut):

@@ -22,6 +22,8 @@ import numpy as np
 
 # Python's white space that the tokenizers don't take for white space.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
+# Spaces before which every token of either kind of vocabulary ends.
+CUT = re.compile(r"(?<=\S) (?=\S)")
 MARKS = ",.;:!?"
 
 

@@ -6,6 +6,8 @@ LONG = " ".join(random.Random(5).choice(["alpha", "beta", "gamma.", "Delta", "ep
 RUN = "".join(random.Random(6).choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5000))
 SHARED = "The quick brown fox jumps over the lazy dog while seventeen grey herons watch from the far bank of the river. " * 3
 TEXTS = [
+    (17, " ".join(f"clean{chr(97 + k % 26)}{chr(97 + k // 26)} word" if k % 2 else "of the" for k in range(90))),
+    (18, " ".join("".join(random.Random(k).choices("abcdefghij", k=6)) for k in range(90))),
     (1, SHARED + "one tail"), (2, "Another head. " + SHARED), (3, None), (4, ""), (5, "  \n\t "), (None, "no id here at all"),
     (6, LONG), (7, RUN + " " + RUN[::-1]), (8, "x<|endoftext|>y <|startoftext|> z  é́ İI don't 12,345 \x1c!"),
     (9, "same text"), (9, "same text"), (9, "other text of one id"), (10, "same text"), (-4, "negative id, " + SHARED[:150]),

@@ -49,13 +49,24 @@ def test_joined_runs_equal_whole_runs(seed, alphabet, cut):
         assert got.tolist() == library(path, run)
 
 
+def by_tree(text, path, leaf):
+    ends = bpe.cuts(len(text), leaf)
+    pieces = [bpe.Piece.leaf(text[a:b], path) for a, b in zip([0, *ends], ends)]
+    return bpe.tree(pieces, path).ids.tolist()
+
+
 @pytest.mark.parametrize("leaf", [7, 100, 4000])
-def test_tree_of_halves(leaf):
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_tree_of_halves(path, leaf):
     for _, text in TEXTS:
-        text = text or ""
-        ends = bpe.cuts(len(text), leaf)
-        pieces = [bpe.Piece.leaf(text[a:b], WORD) for a, b in zip([0, *ends], ends)]
-        assert bpe.tree(pieces, WORD).ids.tolist() == library(WORD, text)
+        assert by_tree(text or "", path, leaf) == library(path, text)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="  \n aBcé́'sd.,!0漢\U0001f600", max_size=80), st.integers(1, 9))
+def test_tree_of_odd_texts(text, leaf):
+    for path in (WORD, BYTE):
+        assert by_tree(text, path, leaf) == library(path, text)
 
 
 def test_merge_pairs_decide_the_encoding():
