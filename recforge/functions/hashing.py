@@ -1,8 +1,10 @@
-"""Deterministic integer hashing shared with the SQL oracle.
+"""Deterministic draws shared with the SQL oracle.
 
-Randomized operators that are checked exactly (negatives, walks) draw their
-numbers from this bigint arithmetic, which any SQL engine computes the same
-way; rand() and xxhash64 are engine specific.
+Operators that draw at random but are checked exactly (samples, splits,
+negatives, walks, crosses) take their numbers from MD5, which every SQL engine
+computes alike: the first 15 hex digits of the digest of the seed and the keys
+as text.  Seed, slot and step are part of the text, so the draws of two of
+them have nothing to do with each other.
 """
 
 from __future__ import annotations
@@ -10,33 +12,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed multipliers of the hash (a Lehmer-style mix, modulus 2^31 - 1).
-HASH_A = 7919
-HASH_B = 104729
-HASH_MULT = 48271
-HASH_MOD = 2147483647
+DRAWS = 1 << 60  # draws lie in [0, DRAWS)
 
 
-def int_hash(a: Column, b: Column, seed: int) -> Column:
-    """``((a*7919 + b*104729 + seed) * 48271) mod (2^31-1)`` in bigint.
-
-    ``a`` must lie in [0, 2^31) and ``b`` be small for the product to stay
-    inside 64 bits.
-    """
-    mixed = a.cast("long") * HASH_A + b.cast("long") * HASH_B + F.lit(seed).cast("long")
-    return F.pmod(mixed * HASH_MULT, F.lit(HASH_MOD).cast("long"))
+def draw(seed: int, *keys: Column) -> Column:
+    """A bigint in [0, 2^60) from a seed and key columns; a null key is a value of its own."""
+    text = F.concat_ws(":", F.lit(str(seed)), *(F.coalesce(k.cast("string"), F.lit("~")) for k in keys))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def row_key(*cols: Column) -> Column:
-    """Fold several integer columns into [0, 2^31-1) for use as ``a``."""
-    acc = F.lit(0).cast("long")
-    for c in cols:
-        acc = F.pmod(acc * 1000003 + F.pmod(c.cast("long"), F.lit(HASH_MOD).cast("long")), F.lit(HASH_MOD).cast("long"))
-    return acc
+def share(fraction: float) -> int:
+    """Draws below this are ``fraction`` of all of them."""
+    return int(round(fraction * DRAWS))
 
 
 def uniform_excluding(h: Column, own: Column, n: int) -> Column:
-    """An id in ``0 .. n-1`` other than ``own``, chosen by hash ``h``.
+    """An id in ``0 .. n-1`` other than ``own``, chosen by draw ``h``.
 
     ``r = h mod (n-1)``; ids at or above ``own`` shift up by one, so ``own``
     is never drawn and every other id is equally likely.  An ``own`` outside

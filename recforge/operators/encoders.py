@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recforge.functions.hashing import int_hash
+from recforge.functions.hashing import draw
 from recforge.functions.scalar import TYPE_SEPARATOR
 
 # Fixed values that must equal the reference's for equal results.
@@ -138,7 +138,7 @@ def indicator(df: DataFrame, index: str, n: int, out: str) -> DataFrame:
 def crossed(a: Column, b: Column, buckets: int = CROSS_BUCKETS, seed: int = 0) -> Column:
     """Hash cross of two integer columns into ``buckets`` buckets.  A
     null side counts as 0."""
-    return F.pmod(int_hash(F.coalesce(a, F.lit(0)), F.coalesce(b, F.lit(0)), seed), F.lit(buckets)).cast("int")
+    return F.pmod(draw(seed, F.coalesce(a, F.lit(0)), F.coalesce(b, F.lit(0))), F.lit(buckets)).cast("int")
 
 
 NUMERIC_FEATURES = [

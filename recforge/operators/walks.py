@@ -4,37 +4,36 @@ Semantics: a walk's first item is drawn from the start distribution (each
 source item weighted by its outgoing pair count, sources in id order); each
 next item is drawn from the current item's outgoing pairs (weighted by
 count, targets in id order); a walk stops early at an item without outgoing
-pairs.  Draws are integer hashes of (walk, step, seed): ``u = h mod total``
-picks the first interval whose cumulative count exceeds ``u``, so there is
-no floating-point gap at the end of a distribution.
+pairs.  The draw of a walk and a step is a 60-bit hash of (seed, walk, step):
+``u = draw mod total`` picks the first interval whose cumulative count exceeds
+``u``, so there is no floating-point gap at the end of a distribution.
 
-Plan shape:
+Plan shape: a step puts the walkers (at ``u``) and the intervals (at their last
+place) of a source in one order, and each walker takes the interval that follows
+it: one sort and one running window, without Python and without a pair of walker
+and interval that don't belong together.
 
 * cumulative counts per source are a window per source (size = out-degree);
-* the start distribution needs a prefix sum over all sources: sources are
-  range-partitioned by id, summed per partition, and offset by the sums of
-  earlier partitions (a table with one row per partition), so no single task
-  sees all sources;
-* every step co-groups the live walkers with the edges of the sources they
-  stand on (edges semi-joined to those sources first) and binary-searches
-  the cumulative counts with numpy in Arrow batches; work per source is
-  O((walkers + edges) log edges), never walkers x edges;
-* the walker table is checkpointed after each step (reliable checkpoint
-  directory), so lineage stays short and lost executors recompute one step.
+* the start distribution's prefix sum runs range by range (``prefix_sum``);
+* a source with more than ``rows`` intervals is cut into sub-ranges of its
+  cumulative counts, and one with more than ``rows`` walkers deals them to
+  copies of its intervals, so no group of a step grows with a hot item;
+* walkers are checkpointed every ``keep`` steps in the session's reliable
+  checkpoint directory, so lineage stays short.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recforge.functions.hashing import int_hash
+from recforge.functions.hashing import draw
+from recforge.operators.prefix import RANGE_PARTS, prefix_sum
 
 N_WALKS = 20000    # walks generated
 WALK_LENGTH = 10   # items per walk at most
-RANGE_PARTS = 64   # range partitions of the start-distribution prefix sum
+GROUP_ROWS = 1_000_000  # intervals, and walkers, of one source that share a group
+KEEP_STEPS = 3     # steps between checkpoints
 
 
 def edge_cdf(pairs: DataFrame) -> DataFrame:
@@ -46,50 +45,34 @@ def edge_cdf(pairs: DataFrame) -> DataFrame:
 def start_cdf(pairs: DataFrame, parts: int = RANGE_PARTS) -> DataFrame:
     """src, cnt, hi, _p: global cumulative outgoing count over sources in id
     order, plus the range partition holding the source."""
-    per_src = pairs.groupBy("src").agg(F.sum("cnt").cast("long").alias("cnt"))
-    ranged = per_src.repartitionByRange(parts, "src").withColumn("_p", F.spark_partition_id()).checkpoint()
-    local = ranged.withColumn(
-        "_lc", F.sum("cnt").over(Window.partitionBy("_p").orderBy("src").rowsBetween(Window.unboundedPreceding, 0))
-    )
-    offsets = ranged.groupBy("_p").agg(F.sum("cnt").alias("_pt")).withColumn(
-        "_off",
-        F.coalesce(F.sum("_pt").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    )
-    # one row per range partition: a proven, parameter-sized bound
-    return local.join(F.broadcast(offsets.select("_p", "_off")), "_p").select(
-        "src", "cnt", (F.col("_off") + F.col("_lc")).cast("long").alias("hi"), "_p"
-    )
-
-
-def _pick(reduce_by_total: bool):
-    """Cogroup function over one bucket of groups: walkers (g, w, u) and
-    intervals (g, item, hi = cumulative count within g).  Each walker takes
-    the first interval of its group with ``hi > u``; with ``reduce_by_total``
-    the walker carries a raw hash and ``u = hash mod (group total)``.
-
-    All groups of the bucket are searched at once: group rank in the high
-    32 bits, cumulative count in the low 32 bits, one ``searchsorted``.
-    """
+    return prefix_sum(pairs.groupBy("src").agg(F.sum("cnt").cast("long").alias("cnt")), ["src"], "cnt", parts=parts)
+
+
+def take(walkers: DataFrame, intervals: DataFrame, rows: int = GROUP_ROWS) -> DataFrame:
+    """(w, item): each walker (g, w, draw) takes the first interval of its group with ``hi`` above the draw
+    modulo the group's total.
 
-    def pick(walkers: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        if walkers.empty or edges.empty:
-            return pd.DataFrame({"w": pd.Series([], dtype="int64"), "item": pd.Series([], dtype="int64")})
-        edges = edges.sort_values(["g", "hi"])
-        groups, first = np.unique(edges["g"].to_numpy(dtype=np.int64), return_index=True)
-        last = np.append(first[1:], len(edges)) - 1
-        hi = edges["hi"].to_numpy(dtype=np.int64)
-        g_rank = np.searchsorted(groups, walkers["g"].to_numpy(dtype=np.int64))
-        known = (g_rank < len(groups)) & (groups[np.minimum(g_rank, len(groups) - 1)] == walkers["g"].to_numpy())
-        walkers, g_rank = walkers[known], g_rank[known]
-        u = walkers["u"].to_numpy(dtype=np.int64)
-        if reduce_by_total:
-            u = u % hi[last[g_rank]]
-        edge_rank = np.repeat(np.arange(len(groups), dtype=np.int64), last - first + 1)
-        keys = (edge_rank << 32) | hi
-        idx = np.searchsorted(keys, (g_rank.astype(np.int64) << 32) | u, side="right")
-        return pd.DataFrame({"w": walkers["w"].to_numpy(dtype=np.int64), "item": edges["item"].to_numpy(dtype=np.int64)[idx]})
-
-    return pick
+    ``intervals`` has g, item, cnt and hi (cumulative within g); walkers of a group without intervals get no row.
+    """
+    sizes = intervals.groupBy("g").agg(F.max("hi").alias("total"), F.ceil(F.count(F.lit(1)) / rows).alias("_subs"))
+    crowds = walkers.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("_copies"))
+    info = sizes.join(crowds, "g").select(
+        "g", "total", "_copies", F.ceil(F.col("total") / F.col("_subs")).cast("long").alias("_width"))
+    stand = walkers.join(info, "g").withColumn("at", F.pmod("draw", "total")).select(
+        "g", F.floor(F.col("at") / F.col("_width")).alias("_sub"), F.pmod("w", "_copies").cast("int").alias("_copy"),
+        "at", F.lit(1).alias("_kind"), "w", F.lit(None).cast("long").alias("item"))
+    # An interval lies in every sub-range that it reaches into, at the last place it has there.
+    lo, last = F.floor((F.col("hi") - F.col("cnt")) / F.col("_width")), F.floor((F.col("hi") - 1) / F.col("_width"))
+    laid = intervals.join(info, "g") \
+        .select("*", F.explode(F.sequence(lo, last)).alias("_sub")) \
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")) \
+        .select("g", "_sub", "_copy", F.least(F.col("hi") - 1, (F.col("_sub") + 1) * F.col("_width") - 1).alias("at"),
+                F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("w"), F.col("item").cast("long").alias("item"))
+    # From the end backwards, an interval comes before the walkers that it serves.
+    order = Window.partitionBy("g", "_sub", "_copy").orderBy(F.desc("at"), "_kind") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    return stand.unionByName(laid).withColumn("item", F.last("item", ignorenulls=True).over(order)) \
+        .where("_kind = 1").select("w", "item")
 
 
 def random_walks(
@@ -99,49 +82,37 @@ def random_walks(
     length: int = WALK_LENGTH,
     seed: int = 0,
     parts: int = RANGE_PARTS,
-    buckets: int | None = None,
+    rows: int = GROUP_ROWS,
+    keep: int = KEEP_STEPS,
 ) -> DataFrame:
-    """walk_id, path (array<long>, 1..length items).
-
-    ``buckets`` (default: the session's shuffle partitions) is the number of
-    co-groups per step; each holds many sources searched in one batch.
-    """
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    """walk_id, path (array<long>, 1..length items).  Building the plan runs the jobs of the checkpoints."""
     edges = edge_cdf(pairs.select("src", "dst", "cnt")).checkpoint()
-    starts = start_cdf(edges, parts)  # partition ids fixed by the checkpoint inside
+    intervals = edges.select(F.col("src").alias("g"), F.col("dst").alias("item"), "cnt", "hi")
+    starts = start_cdf(edges, parts)
     grand = starts.agg(F.max("hi")).scalar()
-    # partition lower bounds, sorted: (lo, _p); one entry per range partition
-    bounds = starts.groupBy("_p").agg((F.min(F.col("hi") - F.col("cnt"))).alias("lo")).agg(
-        F.array_sort(F.collect_list(F.struct("lo", "_p"))).alias("b")
-    ).scalar()
-
-    walkers = spark.range(n_walks).select(F.col("id").alias("w"))
-    w0 = walkers.select("w", F.pmod(int_hash(F.col("w"), F.lit(0), seed), grand).alias("u"), bounds.alias("_b"))
-    w0 = w0.select("w", "u", F.element_at(F.filter("_b", lambda b: b["lo"] <= F.col("u")), -1)["_p"].alias("_p"))
-    first = (
-        w0.select(F.col("_p").alias("g"), "w", "u").groupBy("g")
-        .cogroup(starts.select(F.col("_p").alias("g"), F.col("src").alias("item"), "hi").groupBy("g"))
-        .applyInPandas(_pick(False), "w long, item long")
-    )
-    cur = first.checkpoint()
-    steps = [cur.select("w", F.lit(0).alias("step"), "item")]
+    # Lower bounds of the ranges, sorted: one entry for each.
+    bounds = starts.groupBy("_p").agg(F.min(F.col("hi") - F.col("cnt")).alias("lo"), F.max("hi").alias("end")).agg(
+        F.array_sort(F.collect_list(F.struct("lo", "_p")))).scalar()
+    first = spark.range(n_walks).select(F.col("id").alias("w"), F.pmod(draw(seed, F.col("id"), F.lit(0)), grand).alias("u"),
+                                        bounds.alias("_bounds"))
+    first = first.select("w", "u", F.element_at(F.filter("_bounds", lambda b: b["lo"] <= F.col("u")), -1).alias("_b")) \
+        .where("_b is not null").select(F.col("_b._p").alias("g"), "w", (F.col("u") - F.col("_b.lo")).alias("draw"))
+    own = Window.partitionBy("_p")
+    ranges = starts.withColumn("_lo", F.min(F.col("hi") - F.col("cnt")).over(own)).select(
+        F.col("_p").alias("g"), F.col("src").alias("item"), "cnt", (F.col("hi") - F.col("_lo")).alias("hi"))
+    cur = take(first, ranges, rows).withColumn("path", F.array("item")).checkpoint()
+    done = []
     for k in range(1, length):
-        movers = cur.select(F.col("item").alias("g"), "w", int_hash(F.col("w"), F.lit(k), seed).alias("u"))
-        # only the edges of sources some walker stands on (at most n_walks sources)
-        local_edges = edges.join(movers.select(F.col("g").alias("src")).distinct(), "src", "left_semi")
-        bucket = lambda c: F.pmod(F.hash(c), F.lit(buckets))
-        nxt = (
-            movers.withColumn("_b", bucket(F.col("g"))).groupBy("_b")
-            .cogroup(local_edges.select(F.col("src").alias("g"), F.col("dst").alias("item"), "hi")
-                     .withColumn("_b", bucket(F.col("g"))).groupBy("_b"))
-            .applyInPandas(_pick(True), "w long, item long")
-        )
-        cur = nxt.checkpoint()
-        steps.append(cur.select("w", F.lit(k).alias("step"), "item"))
-    long_form = steps[0]
-    for s in steps[1:]:
-        long_form = long_form.unionByName(s)
-    return long_form.groupBy(F.col("w").alias("walk_id")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("step", "item"))), lambda s: s["item"]).alias("path")
-    )
+        step = take(cur.select(F.col("item").alias("g"), "w", draw(seed, F.col("w"), F.lit(k)).alias("draw")), intervals, rows)
+        moved = cur.join(step.withColumnRenamed("item", "next"), "w", "left")
+        moved = moved.select("w", F.col("next").alias("item"), F.when(F.col("next").isNull(), F.col("path"))
+                             .otherwise(F.concat("path", F.array("next"))).alias("path"))
+        if k % keep == 0 and k + 1 < length:
+            moved = moved.checkpoint()
+            done.append(moved.where("item is null").select("w", "path"))
+            moved = moved.where("item is not null")
+        cur = moved
+    out = cur.select("w", "path")
+    for walks in done:
+        out = out.unionByName(walks)
+    return out.select(F.col("w").alias("walk_id"), "path")

@@ -211,23 +211,18 @@ def embedding_sql() -> dict[str, str]:
     }
 
 
-# ---------------------------------------------------------------- hashing (same integers as Spark)
-M31 = 2147483647
-
-
+# ---------------------------------------------------------------- draws (same integers as Spark)
 def pmod(a: str, m: str) -> str:
     return f"((({a}) % ({m})) + ({m})) % ({m})"
 
 
-def int_hash(a: str, b: str, seed: int) -> str:
-    return pmod(f"(CAST({a} AS BIGINT) * 7919 + CAST({b} AS BIGINT) * 104729 + {seed}) * 48271", str(M31))
+def draw(seed: int, *keys: str) -> str:
+    text = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '~')" for k in keys)
+    return f"CAST('0x' || substr(md5(concat_ws(':', '{seed}', {text})), 1, 15) AS BIGINT)"
 
 
-def row_key(*cols: str) -> str:
-    acc = "CAST(0 AS BIGINT)"
-    for c in cols:
-        acc = pmod(f"({acc}) * 1000003 + {pmod(f'CAST({c} AS BIGINT)', str(M31))}", str(M31))
-    return acc
+def below(seed: int, fraction: float, *keys: str) -> str:
+    return f"{draw(seed, *keys)} < {int(round(fraction * 2 ** 60))}"
 
 
 # ---------------------------------------------------------------- encoders
@@ -235,6 +230,7 @@ TYPES = """tx AS (SELECT productId, unnest(string_split(types, '|')) AS type FRO
 tc AS (SELECT type, count(*) AS n FROM tx GROUP BY type),
 ti AS (SELECT type, CAST(row_number() OVER (ORDER BY n DESC, type) - 1 AS INTEGER) AS typeIndex FROM tc)"""
 
+# The type vocabulary, in its order.
 VOCAB = ["PropertyInsurance", "LifeInsurance", "MedicalInsurance", "AccidentInsurance", "ShortTermBonds",
          "LediumTermBonds", "LongTermBonds", "StockFunds", "BondFunds", "MoneyMarketFunds", "MixedFunds",
          "Gold", "Silver", "Platinum", "Palladium", "LDW", "LDZW", "ZDLW"]
@@ -269,7 +265,7 @@ def encoder_sql() -> dict[str, str]:
             FROM tx JOIN ti USING (type)""",
         "crossed": with_views(*SAMPLE_BASE, sample_windows()) + f"""SELECT userId, productId, ts AS "timestamp",
             hist[1] AS userRatedproduct1,
-            CAST({pmod(int_hash('coalesce(productId, 0)', 'coalesce(hist[1], 0)', 0), '10000')} AS INTEGER) AS cross
+            CAST({pmod(draw(0, 'coalesce(productId, 0)', 'coalesce(hist[1], 0)'), '10000')} AS INTEGER) AS cross
             FROM ranked""",
     }
 
@@ -281,21 +277,20 @@ def split_sql() -> dict[str, str]:
                hist[2] AS userRatedproduct2, hist[3] AS userRatedproduct3,
                hist[4] AS userRatedproduct4, hist[5] AS userRatedproduct5 FROM ranked)
         """
-    key = row_key("userId", "productId", '"timestamp"')
-    keep = pmod(int_hash(key, "0", 0), "1000")
-    part = pmod(int_hash(key, "0", 1), "1000")
+    key = ("userId", "productId", '"timestamp"')
+    keep, part = below(0, 0.1, *key), below(1, 0.8, *key)
     negs = []
     for slot in (2, 3, 4, 5):
         own = f"coalesce(CAST(userRatedproduct{slot} AS BIGINT), 0)"
-        h = int_hash(key, str(slot), 2020)
+        h = draw(2020, *key, str(slot))
         r = pmod(h, "1000")
         negs.append(f"""CASE WHEN {own} >= 0 AND {own} < 1001
               THEN {r} + CASE WHEN {r} >= {own} THEN 1 ELSE 0 END
               ELSE {pmod(h, '1001')} END AS negtive_userRatedproduct{slot}""")
     return {
         "split_samples": base + f"""SELECT userId, productId, "timestamp", label,
-            CASE WHEN {part} < 800 THEN 'train' ELSE 'test' END AS split
-            FROM s WHERE {keep} < 100""",
+            CASE WHEN {part} THEN 'train' ELSE 'test' END AS split
+            FROM s WHERE {keep}""",
         "time_split": base + """SELECT userId, productId, "timestamp", label,
             CASE WHEN "timestamp" <= (SELECT percentile_disc(0.8) WITHIN GROUP (ORDER BY "timestamp") FROM s)
                  THEN 'train' ELSE 'test' END AS split FROM s""",
@@ -306,8 +301,7 @@ def split_sql() -> dict[str, str]:
 
 # ---------------------------------------------------------------- walks
 def walk_sql(n_walks: int = 20000, length: int = 10, seed: int = 0) -> str:
-    h0 = int_hash("w", "0", seed)
-    hk = int_hash("walk.w", "walk.step + 1", seed)
+    h0, hk = draw(seed, "w", "0"), draw(seed, "walk.w", "walk.step + 1")
     return "WITH RECURSIVE " + ",\n".join([RATINGS, POSITIVE_SEQ, PAIRS]) + f""",
 edges AS (SELECT src, dst, cnt,
     CAST(sum(cnt) OVER (PARTITION BY src ORDER BY dst ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS hi,
@@ -315,7 +309,7 @@ edges AS (SELECT src, dst, cnt,
 srcs AS (SELECT src, CAST(sum(cnt) AS BIGINT) AS c FROM pairs GROUP BY src),
 starts AS (SELECT src, c, CAST(sum(c) OVER (ORDER BY src ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS hi FROM srcs),
 g AS (SELECT CAST(sum(c) AS BIGINT) AS total FROM srcs),
-w0 AS (SELECT range AS w, {pmod(h0, '(SELECT total FROM g)')} AS u FROM range(0, {n_walks})),
+w0 AS (SELECT w, {pmod(h0, '(SELECT total FROM g)')} AS u FROM (SELECT range AS w FROM range(0, {n_walks}))),
 walk(w, step, item) AS (
   SELECT w0.w, 0, s.src FROM w0 JOIN starts s ON w0.u >= s.hi - s.c AND w0.u < s.hi
   UNION ALL
@@ -328,20 +322,18 @@ FROM walk GROUP BY w"""
 
 # ---------------------------------------------------------------- model baselines
 def baseline_rmse_sql() -> str:
-    key = row_key("userId", "productId", "ts", "l_orderkey", "l_linenumber")
-    part = pmod(int_hash(key, "0", 7), "1000")
-    return with_views(RATINGS) + f""", s AS (SELECT *, CASE WHEN {part} < 800 THEN 'train' ELSE 'test' END AS split FROM ratings),
+    part = below(7, 0.8, "userId", "productId", "ts", "l_orderkey", "l_linenumber")
+    return with_views(RATINGS) + f""", s AS (SELECT *, CASE WHEN {part} THEN 'train' ELSE 'test' END AS split FROM ratings),
         m AS (SELECT productId, avg(rating) AS pm FROM s WHERE split = 'train' GROUP BY productId)
         SELECT round(sqrt(avg((pm - rating) * (pm - rating))), 6) AS rmse, count(*) AS n
         FROM s JOIN m USING (productId) WHERE split = 'test'"""
 
 
 def baseline_logloss_sql() -> str:
-    key = row_key("userId", "productId", '"timestamp"')
-    part = pmod(int_hash(key, "0", 1), "1000")
+    part = below(1, 0.8, "userId", "productId", '"timestamp"')
     return with_views(*SAMPLE_BASE, sample_windows()) + f""", s0 AS (
         SELECT userId, productId, ts AS "timestamp", label FROM ranked),
-        s AS (SELECT *, CASE WHEN {part} < 800 THEN 'train' ELSE 'test' END AS split FROM s0),
+        s AS (SELECT *, CASE WHEN {part} THEN 'train' ELSE 'test' END AS split FROM s0),
         r AS (SELECT productId, avg(label) AS p FROM s WHERE split = 'train' GROUP BY productId),
         t AS (SELECT label, p, least(greatest(p, 1e-15), 1 - 1e-15) AS pc FROM s JOIN r USING (productId) WHERE split = 'test')
         SELECT round(avg(-(label * ln(pc) + (1 - label) * ln(1 - pc))), 6) AS logloss,

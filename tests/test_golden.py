@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from recforge.functions import scalar as SF
 from recforge.functions.arrays import rank_by_frequency
-from recforge.functions.hashing import int_hash, uniform_excluding
+from recforge.functions.hashing import draw, uniform_excluding
 from recforge.functions.vectors import fm_pairwise
 from recforge.operators import embeddings as E
 from recforge.operators import encoders as ENC
@@ -122,7 +122,7 @@ def test_multi_hot_repeat(spark):
 
 def test_negatives(spark):
     df = spark.createDataFrame([(0,), (1000,), (None,), (5000,)], "own long")
-    h = int_hash(F.lit(12345), F.lit(2), 2020)
+    h = draw(2020, F.lit(12345), F.lit(2))
     rows = df.select("own", uniform_excluding(h, F.coalesce(F.col("own"), F.lit(0)), 1001).alias("neg")).collect()
     for r in rows:
         assert 0 <= r.neg <= 1000

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from recforge.functions.arrays import rank_by_frequency
-from recforge.functions.hashing import int_hash, uniform_excluding
+from recforge.functions.hashing import draw, uniform_excluding
 from recforge.operators import encoders as ENC
 from recforge.operators import sequences as Q
 from recforge.operators import splits as SP
@@ -77,6 +77,6 @@ def test_rank_matches_python(spark, lists):
 @given(st.lists(st.integers(min_value=-5, max_value=1100), min_size=1, max_size=20), st.integers(0, 10_000))
 def test_uniform_excluding_property(spark, owns, seed):
     df = spark.createDataFrame([(i, o) for i, o in enumerate(owns)], "i long, own long")
-    out = df.select("own", uniform_excluding(int_hash(F.col("i"), F.lit(1), seed), F.col("own"), 1001).alias("n"))
+    out = df.select("own", uniform_excluding(draw(seed, F.col("i"), F.lit(1)), F.col("own"), 1001).alias("n"))
     for own, n in out.collect():
         assert 0 <= n <= 1000 and n != own
