@@ -9,5 +9,5 @@ from recforge.functions.scalar import (  # noqa: F401
     split_part,
 )
 from recforge.functions.arrays import first_n, rank_by_frequency, sort_by_keys  # noqa: F401
-from recforge.functions.vectors import cosine, dot, fm_pairwise, sq_euclidean, vec_round  # noqa: F401
+from recforge.functions.vectors import cosine, dot, fm_pairwise, sq_euclidean  # noqa: F401
 from recforge.functions.hashing import draw, share, uniform_excluding  # noqa: F401

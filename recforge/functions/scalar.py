@@ -23,21 +23,26 @@ def label(rating: Column | str, threshold: float = POSITIVE_RATING) -> Column:
     return F.when(_c(rating) >= F.lit(threshold), F.lit(1)).otherwise(F.lit(0))
 
 
+def _strip(c: Column | str) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(_c(c), r"^[\s\u0085\p{Z}]+|[\s\u0085\p{Z}]+$", "")
+
+
 def release_year(title: Column | str, default: int = DEFAULT_RELEASE_YEAR) -> Column:
     """Four characters before the last one of the trimmed title, as int.
 
     Null, empty, or shorter than six characters after trimming gives the
     default; so does a non-numeric year (the reference would raise).
     """
-    t = F.trim(_c(title))
+    t = _strip(title)
     year = F.substring(t, -5, 4).try_cast("int")
     return F.when(t.isNull() | (F.length(t) < 6), F.lit(default)).otherwise(F.coalesce(year, F.lit(default)))
 
 
 def clean_title(title: Column | str) -> Column:
     """Trim, drop the trailing ``(YYYY)`` (last six characters), trim again."""
-    t = F.trim(_c(title))
-    return F.trim(F.substr(t, F.lit(1), F.greatest(F.length(t) - 6, F.lit(0))))
+    t = _strip(title)
+    return _strip(F.substr(t, F.lit(1), F.greatest(F.length(t) - 6, F.lit(0))))
 
 
 def split_part(types: Column | str, index: int, sep: str = TYPE_SEPARATOR) -> Column:

@@ -19,7 +19,8 @@ def sq_euclidean(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    """Null if one of the vectors is zero, for it has no direction."""
+    return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
 def fm_pairwise(fields: list[Column]) -> Column:
@@ -32,6 +33,3 @@ def fm_pairwise(fields: list[Column]) -> Column:
         squares = F.zip_with(squares, f, lambda s, y: s + y.cast("double") * y.cast("double"))
     return F.zip_with(sums, squares, lambda s, q: s.cast("double") * s.cast("double") - q)
 
-
-def vec_round(arr: Column, places: int = 6) -> Column:
-    return F.transform(arr, lambda x: F.round(x.cast("double"), places))

@@ -46,8 +46,9 @@ def user_embeddings(ratings: DataFrame, item_emb: DataFrame) -> DataFrame:
 
 
 def query_vector(vectors: DataFrame, vec_id: int) -> Column:
-    """The embedding of ``vec_id`` as a scalar subquery column."""
-    return vectors.where(F.col("vec_id") == vec_id).select("embedding").scalar()
+    """The embedding of ``vec_id`` as a scalar subquery column; a query with an unknown id fails."""
+    found = vectors.where(F.col("vec_id") == vec_id).select("embedding").scalar()
+    return F.coalesce(found, F.raise_error(F.lit(f"no vector with id {vec_id}")).cast("array<float>"))
 
 
 def nearest_k(vectors: DataFrame, query: Column, k: int = KNN_K) -> DataFrame:
@@ -66,6 +67,7 @@ def most_similar(vectors: DataFrame, vec_id: int, k: int = SIMILAR_K) -> DataFra
         vectors.where(F.col("vec_id") != vec_id)
         .select("vec_id", "embedding", q.alias("_q"))
         .select("vec_id", sim.alias("similarity"))
+        .where("similarity is not null")  # a zero vector is similar to none
         .orderBy(F.col("similarity").desc(), "vec_id")
         .limit(k)
     )

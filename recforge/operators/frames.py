@@ -3,34 +3,32 @@
 A window ``partitionBy(key).orderBy(...).rowsBetween(-P, F)`` puts every row
 of a key into one task.  If one user owns a third of all events that task
 owns a third of the data.  Frames bounded in rows only need the P rows before
-and the F rows after each row, so a hot key can be cut into contiguous chunks
-along its order, each chunk windowed on its own, as long as each chunk also
-sees copies of the P rows that precede it and the F rows that follow it.
-
-``chunk_frames`` does that exactly:
-
-1. per key: row count, min and max of the leading order column (one partial
-   aggregate, skew-safe);
-2. keys with more than ``rows_per_chunk`` rows are hot; a hot row's chunk is
-   its leading order value's slot among ``ceil(n / rows_per_chunk)`` equal
-   slices of the key's range (monotone in the order, hence contiguous);
-3. chunk sizes give every chunk its start and end position in the key;
-4. the last P rows and first F rows of each chunk (a top-k per chunk, which
-   Spark limits before the shuffle) are copied, flagged as context, to the
-   neighbouring chunks whose frames reach them.  Because every chunk has at
-   least one row, a row is copied at most P + F times.
+and the F rows after each row, so a hot key is cut into chunks of consecutive
+rows, each windowed on its own beside copies of the P rows before it and the F
+rows after it.
+
+1. One partial aggregate counts the rows of each key; keys (a null one too) with
+   more than ``rows_per_chunk`` are hot.
+2. Rows of hot keys are dealt to ranges of (key, order), so a row's position in
+   its key is its number within the range plus the rows of the key in the ranges
+   before.  The order is the whole order key, not its first column: rows that
+   share a time are cut as well.
+3. Row number p is in chunk p // rows_per_chunk, and is copied, flagged as
+   context, to the other chunks that have a row in [p - F, p + P].
 
 The caller windows over ``partitionBy(key, "_chunk")`` and drops rows with
-``_ctx``.  Keys at or under the threshold keep chunk 0 and get no copies.
-Results are identical to the plain window for any threshold.
+``_ctx``.  Rows of other keys are in chunk 0 and aren't copied.  Results are those
+of the plain window for any threshold, if the order is total.
+
+Building the plan runs the counting job, and, if there is a hot key, one that
+checkpoints the hot keys' rows once they are dealt.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
@@ -38,12 +36,36 @@ CTX = "_ctx"
 
 # Default size of a chunk of a hot key, in rows.
 DEFAULT_ROWS_PER_CHUNK = 2_000_000
-# Largest side broadcast by count (hot keys, chunk table); beyond it a shuffle join.
-BROADCAST_ROWS = 2_000_000
 
 
-def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    return F.broadcast(df) if rows <= limit else df
+def hot_keys(df: DataFrame, key: str, rows_per_chunk: int) -> DataFrame:
+    """(_key, _n) of the keys with more rows than a chunk, counted and checkpointed."""
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > rows_per_chunk).checkpoint()
+
+
+def hot_positions(df: DataFrame, hot: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
+    """The rows of hot keys with ``_pos``, their 0-based position in the key, and ``_n``, the key's rows."""
+    rows = df.join(hot, df[key].eqNullSafe(hot["_key"])).drop("_key")
+    ranged = rows.repartitionByRange(key, *order_cols).withColumn("_range", F.spark_partition_id()).checkpoint()
+    sizes = ranged.groupBy(F.col(key).alias("_key"), F.col("_range").alias("_of")).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_key", "_of", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy(key, "_range").orderBy(*order_cols)) - 1
+    numbered = ranged.withColumn("_own", own)
+    same = numbered[key].eqNullSafe(starts["_key"]) & (numbered["_range"] == starts["_of"])
+    return numbered.join(starts, same).withColumn("_pos", F.col("_start") + F.col("_own")) \
+        .select(*df.columns, "_pos", "_n")
+
+
+def _parts(df: DataFrame, key: str, order_cols: Sequence[str], rows_per_chunk: int | None, counted: DataFrame | None):
+    """Rows of other keys, and numbered rows of hot keys or None."""
+    if rows_per_chunk is None:
+        return df, None
+    hot = hot_keys(df if counted is None else counted, key, rows_per_chunk)
+    if hot.isEmpty():
+        return df, None
+    return df.join(hot, df[key].eqNullSafe(hot["_key"]), "left_anti"), hot_positions(df, hot, key, order_cols)
 
 
 def chunk_frames(
@@ -53,95 +75,24 @@ def chunk_frames(
     preceding: int,
     following: int = 0,
     rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK,
-    broadcast_rows: int = BROADCAST_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_chunk`` and ``_ctx`` so that windows over (key, _chunk) with a
     frame of at most ``preceding`` rows before and ``following`` rows after
-    give the same values as over key alone."""
-    return _chunk_frames(df, key, order_cols, preceding, following, rows_per_chunk, broadcast_rows)[0]
-
-
-def _chunk_frames(df, key, order_cols, preceding, following, rows_per_chunk, broadcast_rows):
-    if rows_per_chunk is None:
-        return df.withColumn(CHUNK, F.lit(0)).withColumn(CTX, F.lit(False)), False
-
-    lead = order_cols[0]
-    hot = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(lead).alias("_lo"), F.max(lead).alias("_hi"))
-        .where(F.col("_n") > rows_per_chunk)
-        .select(key, F.ceil(F.col("_n") / F.lit(rows_per_chunk)).cast("long").alias("_k"), "_lo", "_hi")
-        .checkpoint()
-    )
-    summary = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_k").alias("chunks")).first()
-    n_hot, n_chunks = int(summary["keys"]), int(summary["chunks"] or 0)
-    if n_hot == 0:
-        return df.withColumn(CHUNK, F.lit(0)).withColumn(CTX, F.lit(False)), False
-
-    width = (F.col("_hi") - F.col("_lo") + F.lit(1)).cast("double") / F.col("_k")
-    slot = F.least(F.col("_k") - 1, F.floor((F.col(lead) - F.col("_lo")).cast("double") / width))
-    rows = (
-        df.join(_maybe_broadcast(hot, n_hot, broadcast_rows), key, "left")
-        .withColumn(CHUNK, F.coalesce(slot, F.lit(0)).cast("long"))
-        .withColumn("_hot", F.col("_k").isNotNull())
-        .drop("_k", "_lo", "_hi")
-    )
-
-    # Chunk table of hot keys: start/end position, and the neighbours whose
-    # frames can reach into this chunk.
-    by_chunk = Window.partitionBy(key).orderBy(CHUNK)
-    info = (
-        rows.where("_hot")
-        .groupBy(key, CHUNK)
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_end", F.sum("_size").over(by_chunk.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_start", F.col("_end") - F.col("_size"))
-    )
-    info = info.select(
-        key,
-        CHUNK,
-        "_start",
-        "_end",
-        F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_start").alias("s"))).over(
-            by_chunk.rowsBetween(1, max(preceding, 1))
-        ).alias("_next"),
-        F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_end").alias("e"))).over(
-            by_chunk.rowsBetween(-max(following, 1), -1)
-        ).alias("_prev"),
-    ).checkpoint()
-    info_b = _maybe_broadcast(info, n_chunks, broadcast_rows)
-
-    parts = [rows.drop("_hot").withColumn(CTX, F.lit(False))]
-    cols = [c for c in df.columns]
-    in_chunk = Window.partitionBy(key, CHUNK)
-    if preceding > 0:
-        desc = [F.col(c).desc() for c in order_cols]
-        tail = (
-            rows.where("_hot")
-            .withColumn("_rr", F.row_number().over(in_chunk.orderBy(*desc)))
-            .where(F.col("_rr") <= preceding)
-            .join(info_b, [key, CHUNK])
-            .withColumn("_pos", F.col("_end") - F.col("_rr"))
-            .withColumn("_to", F.explode(F.filter("_next", lambda n: n["s"] <= F.col("_pos") + preceding)))
-            .select(*cols, F.col("_to")["c"].alias(CHUNK), F.lit(True).alias(CTX))
-        )
-        parts.append(tail)
-    if following > 0:
-        asc = [F.col(c).asc() for c in order_cols]
-        head = (
-            rows.where("_hot")
-            .withColumn("_r", F.row_number().over(in_chunk.orderBy(*asc)))
-            .where(F.col("_r") <= following)
-            .join(info_b, [key, CHUNK])
-            .withColumn("_pos", F.col("_start") + F.col("_r") - 1)
-            .withColumn("_to", F.explode(F.filter("_prev", lambda p: p["e"] + following > F.col("_pos"))))
-            .select(*cols, F.col("_to")["c"].alias(CHUNK), F.lit(True).alias(CTX))
-        )
-        parts.append(head)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out, True
+    give the same values as over key alone.
+
+    ``counted``, if given, is a cheaper table with at least ``df``'s rows for each key, on which hot keys are found.
+    """
+    cold, placed = _parts(df, key, order_cols, rows_per_chunk, counted)
+    out = cold.withColumn(CHUNK, F.lit(0).cast("long")).withColumn(CTX, F.lit(False))
+    if placed is None:
+        return out
+    chunk = lambda pos: F.floor(pos / F.lit(rows_per_chunk))
+    lo = chunk(F.greatest(F.col("_pos") - following, F.lit(0)))
+    hi = chunk(F.least(F.col("_pos") + preceding, F.col("_n") - 1))
+    own = chunk(F.col("_pos"))
+    copies = placed.withColumn(CHUNK, F.explode(F.sequence(lo, F.greatest(own, hi)))).withColumn(CTX, F.col(CHUNK) != own)
+    return out.unionByName(copies.select(*df.columns, CHUNK, CTX))
 
 
 def key_positions(
@@ -149,24 +100,10 @@ def key_positions(
     key: str,
     order_cols: Sequence[str],
     rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK,
-    broadcast_rows: int = BROADCAST_ROWS,
     name: str = "_pos",
 ) -> DataFrame:
-    """0-based position of each row within its key, in ``order_cols`` order,
-    computed per chunk (see ``chunk_frames``) so a hot key is not one task."""
-    framed, split = _chunk_frames(df, key, order_cols, 0, 0, rows_per_chunk, broadcast_rows)
-    w = Window.partitionBy(key, CHUNK).orderBy(*order_cols)
-    ranked = framed.withColumn("_r", F.row_number().over(w) - 1)
-    if not split:
-        return ranked.select(*df.columns, F.col("_r").cast("long").alias(name))
-    sizes = ranked.groupBy(key, CHUNK).agg(F.count(F.lit(1)).alias("_size"))
-    starts = sizes.withColumn(
-        "_start",
-        F.coalesce(
-            F.sum("_size").over(Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
-    ).drop("_size")
-    return ranked.join(starts, [key, CHUNK]).select(
-        *df.columns, (F.col("_start") + F.col("_r")).alias(name)
-    )
+    """0-based position of each row within its key, in ``order_cols`` order; no task numbers a hot key alone."""
+    cold, placed = _parts(df, key, order_cols, rows_per_chunk, None)
+    own = F.row_number().over(Window.partitionBy(key).orderBy(*order_cols)) - 1
+    out = cold.select(*df.columns, own.cast("long").alias(name))
+    return out if placed is None else out.unionByName(placed.select(*df.columns, F.col("_pos").alias(name)))

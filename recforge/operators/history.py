@@ -23,18 +23,21 @@ MIN_HISTORY = 1      # keep rows whose userRatingCount is above this
 
 def add_user_features(
     df: DataFrame,
-    order_cols: Sequence[str] = ("ts",),
+    order_cols: Sequence[str] = ("ts", "productId"),
     history: int = HISTORY_ROWS,
     slots: int = HISTORY_SLOTS,
     min_history: int = MIN_HISTORY,
     rows_per_chunk: int | None = DEFAULT_ROWS_PER_CHUNK,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Needs userId, productId, rating, label, releaseYear, types and the
     order columns.  Adds userRatedproduct1..n, userRatingCount,
     userAvgReleaseYear, userReleaseYearStddev, userAvgRating,
     userRatingStddev, userType1..n; drops ``types``; keeps rows with more
-    than ``min_history`` preceding ratings."""
-    framed = chunk_frames(df, "userId", list(order_cols), preceding=history, rows_per_chunk=rows_per_chunk)
+    than ``min_history`` preceding ratings.  ``counted`` is a cheap table with
+    the same users' rows, on which hot users are found."""
+    framed = chunk_frames(df, "userId", list(order_cols), preceding=history, rows_per_chunk=rows_per_chunk,
+                          counted=counted)
     # split each product's types once, not once per frame that contains it
     framed = framed.withColumn("_typeArr", F.split("types", "\\" + TYPE_SEPARATOR))
     w = Window.partitionBy("userId", CHUNK).orderBy(*order_cols).rowsBetween(-history, -1)

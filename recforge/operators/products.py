@@ -35,12 +35,6 @@ def product_rating_features(df: DataFrame) -> DataFrame:
     )
 
 
-def add_product_rating_features(df: DataFrame) -> DataFrame:
-    """Aggregate per product, then left join back (partial aggregation
-    before the shuffle; the join side is one row per product)."""
-    return df.join(product_rating_features(df), on=["productId"], how="left")
-
-
 def product_stats(df: DataFrame) -> DataFrame:
     """A3: ratingCount, avgRating, ratingVar (sample variance) per product."""
     return df.groupBy("productId").agg(

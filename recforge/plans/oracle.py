@@ -129,6 +129,8 @@ def basic_sql() -> dict[str, str]:
         "product_stats": r + """SELECT productId, count(*) AS ratingCount, round(avg(rating), 6) AS avgRating,
             round(var_samp(rating), 6) AS ratingVar FROM ratings GROUP BY productId""",
         "distinct_users": r + "SELECT DISTINCT userId FROM ratings ORDER BY userId LIMIT 3",
+        "typed_ratings": r + """SELECT *, CAST(userId AS INTEGER) AS userIdInt, CAST(productId AS INTEGER) AS productIdInt,
+            CAST(rating AS FLOAT) AS ratingFloat FROM ratings""",
         "user_timeline": r + """SELECT * FROM ratings WHERE userId = (SELECT min(userId) FROM ratings)""",
     }
 
@@ -149,6 +151,9 @@ def sequence_sql() -> dict[str, str]:
         "item_sequences": base + """SELECT userId, CAST(floor(p / 1000) AS BIGINT) AS sentence,
             string_agg(CAST(productId AS VARCHAR), ' ' ORDER BY p) AS productIdStr
             FROM pos GROUP BY userId, floor(p / 1000)""",
+        "item_sequences_short": base + """SELECT userId, CAST(floor(p / 4) AS BIGINT) AS sentence,
+            string_agg(CAST(productId AS VARCHAR), ' ' ORDER BY p) AS productIdStr
+            FROM pos GROUP BY userId, floor(p / 4)""",
         "pair_counts": base + "SELECT src, dst, cnt FROM pairs",
         "transition_probs": base + """SELECT src, dst, cnt,
             CAST(cnt AS DOUBLE) / CAST(sum(cnt) OVER (PARTITION BY src) AS DOUBLE) AS prob FROM pairs""",
@@ -291,6 +296,13 @@ def split_sql() -> dict[str, str]:
         "split_samples": base + f"""SELECT userId, productId, "timestamp", label,
             CASE WHEN {part} THEN 'train' ELSE 'test' END AS split
             FROM s WHERE {keep}""",
+        "sample_job": with_views(*SAMPLE_BASE, sample_windows()) + """, s AS (
+            SELECT userId, productId, ts AS "timestamp", label, productRatingCount, productAvgRating, userRatingStddev FROM ranked)
+            SELECT userId, productId, "timestamp", CAST(label AS INTEGER) AS label, CASE WHEN """ + part + """ THEN 'train' ELSE 'test' END AS split,
+            CAST(productRatingCount AS INTEGER) AS productRatingCount,
+            round(CAST(replace(productAvgRating, ',', '') AS DOUBLE), 6) AS productAvgRating,
+            round(coalesce(CAST(replace(userRatingStddev, ',', '') AS DOUBLE), 0), 6) AS userRatingStddev
+            FROM s WHERE """ + keep,
         "time_split": base + """SELECT userId, productId, "timestamp", label,
             CASE WHEN "timestamp" <= (SELECT percentile_disc(0.8) WITHIN GROUP (ORDER BY "timestamp") FROM s)
                  THEN 'train' ELSE 'test' END AS split FROM s""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,9 @@ from recforge.operators import item2vec as I2V
 from pyspark.ml.functions import vector_to_array
 
 from recforge.plans import oracle
-from recforge.plans.samples import minimum_slice, training_samples
+from recforge.plans.samples import minimum_slice, save_train_test, training_samples
+from recforge.session import ensure_checkpoint_dir
+from recforge.sources import files as IO
 from recforge.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,19 +121,34 @@ def _lsh_neighbours(spark, sf):
 
 
 def _sample_split(spark, sf):
-    split = SP.hash_split(_samples(spark, sf), KEY, seed=1)
+    """Both parts of the samples, computed once."""
+    split = SP.hash_split(_samples(spark, sf), KEY, seed=1).checkpoint()
     return split.where("split = 'train'"), split.where("split = 'test'")
 
 
+def _sample_job(spark, sf):
+    """Write both sets as the job does, read them back."""
+    path = f"{ensure_checkpoint_dir(spark)}/sample-job-{uuid.uuid4().hex}"
+    parts = [IO.read_samples(spark, to).withColumn("split", F.lit(part))
+             for part, to in save_train_test(_samples(spark, sf), path).items()]
+    return parts[0].unionByName(parts[1]).select(*KEY, "label", "split", "productRatingCount",
+                                                 _round("productAvgRating"), _round("userRatingStddev"))
+
+
 def _ctr(spark, sf, kind):
     train, test = _sample_split(spark, sf)
     fit = {"fm": CTR.ctr_fm, "mlp": CTR.ctr_mlp, "linear": CTR.ctr_linear}[kind]
-    return CTR.binary_metrics(spark, CTR.predict(fit(train), test, kind), kind)
+    return CTR.binary_metrics(spark, CTR.predict(fit(train), test).checkpoint(), kind)
+
+
+def _als_rmse(spark, sf):
+    model, _, test = _als(spark, sf)
+    return AL.rmse(model.transform(test))
 
 
 def _preview(spark, sf):
     train, test = _sample_split(spark, sf)
-    return CTR.score_preview(CTR.predict(CTR.ctr_linear(train), test, "linear"), ["userId", "timestamp", "productId"])
+    return CTR.score_preview(CTR.predict(CTR.ctr_linear(train), test), ["userId", "timestamp", "productId"])
 
 
 def _baseline_logloss(spark, sf):
@@ -161,10 +179,12 @@ QUERIES: dict[str, Query] = {
     "product_rating_features": lambda s, sf: P.product_rating_features(_r(s, sf)),
     "product_stats": lambda s, sf: P.product_stats(_r(s, sf)).select(
         "productId", "ratingCount", _round("avgRating"), _round("ratingVar")),
-    "distinct_users": lambda s, sf: _r(s, sf).select("userId").distinct().orderBy("userId").limit(3),
+    "distinct_users": lambda s, sf: AL.distinct_ids(_r(s, sf), "userId"),
+    "typed_ratings": lambda s, sf: AL.typed_ratings(_r(s, sf)),
     "user_timeline": _timeline,
     # sequences
     "item_sequences": lambda s, sf: Q.item_sequences(_r(s, sf), ORDER).select("userId", "sentence", "productIdStr"),
+    "item_sequences_short": lambda s, sf: Q.item_sequences(_r(s, sf), ORDER, max_len=4).select("userId", "sentence", "productIdStr"),
     "pair_counts": lambda s, sf: Q.pair_counts(_r(s, sf), ORDER),
     "transition_probs": lambda s, sf: Q.transition_probs(Q.pair_counts(_r(s, sf), ORDER)),
     "item_distribution": lambda s, sf: Q.item_distribution(Q.pair_counts(_r(s, sf), ORDER)),
@@ -217,6 +237,7 @@ QUERIES: dict[str, Query] = {
     # sampling and splitting
     "split_samples": lambda s, sf: SP.hash_split(
         SP.hash_sample(_samples(s, sf), KEY, seed=0), KEY, seed=1).select("userId", "productId", "timestamp", "label", "split"),
+    "sample_job": _sample_job,
     "time_split": lambda s, sf: SP.time_split(_samples(s, sf).select("userId", "productId", "timestamp", "label"),
                                               exact=True),
     "time_split_approx": lambda s, sf: SP.time_split(
@@ -230,8 +251,8 @@ QUERIES: dict[str, Query] = {
     "als_item_recs": lambda s, sf: _rounded_recs(AL.item_recs(_als(s, sf)[0])),
     "als_user_subset_recs": lambda s, sf: _rounded_recs(_subset(s, sf, "userIdInt")),
     "als_item_subset_recs": lambda s, sf: _rounded_recs(_subset(s, sf, "productIdInt")),
-    "als_rmse": lambda s, sf: AL.rmse(_als(s, sf)[0].transform(_als(s, sf)[2])),
-    "als_cross_validation": lambda s, sf: AL.cross_validate(s, _als(s, sf)[1]),
+    "als_rmse": _als_rmse,
+    "als_cross_validation": lambda s, sf: AL.cross_validate(s, AL.train_test(_r(s, sf))[0]),
     "baseline_rmse": _baseline_rmse,
     "item2vec": lambda s, sf: _emb_out(I2V.embeddings_from_model(_i2v(s, sf))),
     "graph_embedding": lambda s, sf: _emb_out(I2V.embeddings_from_model(I2V.graph_embedding(

@@ -45,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="recforge-ckpt-", dir=os.environ.get("RECFORGE_SCRATCH", "/tmp"))
     sc.setCheckpointDir(configured)

@@ -7,7 +7,7 @@ small exports only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,13 +84,35 @@ def read_embeddings(spark: SparkSession, path: str, key: str = "productId") -> D
     return raw.select(parts[0].alias(key), F.transform(F.split(parts[1], " "), lambda x: x.cast("float")).alias("emb"))
 
 
+def _read_sample_text(spark: SparkSession, path: str) -> DataFrame:
+    """Every column as it is written, since numbers may hold thousands separators."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in SAMPLE_SCHEMA.fields])
+    return spark.read.csv(path, header=True, schema=text)
+
+
+def _number(name: str, kind: T.DataType) -> Column:
+    plain = F.regexp_replace(F.trim(F.col(name)), ",", "")
+    return plain.try_cast("double").cast(kind) if isinstance(kind, (T.IntegerType, T.LongType)) else plain.try_cast(kind)
+
+
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
-    """Sample CSV as the click models read it: malformed rows dropped,
-    numbers null -> 0, text null -> ''."""
-    df = spark.read.csv(path, header=True, schema=SAMPLE_SCHEMA, mode="DROPMALFORMED")
-    numeric = [f.name for f in SAMPLE_SCHEMA.fields if not isinstance(f.dataType, T.StringType)]
-    text = [f.name for f in SAMPLE_SCHEMA.fields if isinstance(f.dataType, T.StringType)]
-    return df.fillna(0, subset=numeric).fillna("", subset=text)
+    """Sample CSV as the click models read it: numbers without their
+    thousands separators, null or unreadable ones 0, null text ''.  No row is dropped."""
+    df = _read_sample_text(spark, path)
+    return df.select(*(
+        F.coalesce(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType)
+        else F.coalesce(_number(f.name, f.dataType), F.lit(0).cast(f.dataType)).alias(f.name)
+        for f in SAMPLE_SCHEMA.fields))
+
+
+def bad_samples(spark: SparkSession, path: str) -> DataFrame:
+    """One row with ``rows`` and ``bad``, those with a number that can't be read."""
+    wrong = [F.col(f.name).isNotNull() & _number(f.name, f.dataType).isNull()
+             for f in SAMPLE_SCHEMA.fields if not isinstance(f.dataType, T.StringType)]
+    any_wrong = wrong[0]
+    for w in wrong[1:]:
+        any_wrong = any_wrong | w
+    return _read_sample_text(spark, path).agg(F.count(F.lit(1)).alias("rows"), F.count_if(any_wrong).alias("bad"))
 
 
 def save_model(model, path: str) -> None:

@@ -154,3 +154,9 @@ def test_label_column(spark):
 def test_add_user_features_drops_types(spark):
     out = _history(spark, 5)
     assert "types" not in out.columns and "userType1" in out.columns
+
+
+def test_white_space_around_titles(spark):
+    df = spark.createDataFrame([("X (1999)\r",), ("\tY (2001) \u00a0",), ("Z (1987)",)], "t string")
+    rows = df.select(SF.release_year("t").alias("y"), SF.clean_title("t").alias("c")).collect()
+    assert [tuple(r) for r in rows] == [(1999, "X"), (2001, "Y"), (1987, "Z")]
