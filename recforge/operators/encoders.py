@@ -80,10 +80,23 @@ def multi_hot(products: DataFrame) -> DataFrame:
 
 
 def sparse_indices(vec: Column) -> Column:
-    """Indices of the non-zero entries of an ML vector, ascending."""
-    arr = vector_to_array(vec)
-    idx = F.filter(F.sequence(F.lit(0), F.size(arr) - 1), lambda i: F.get(arr, i) != 0)
-    return idx
+    """Indices of the non-zero entries of an ML vector, ascending.  A sparse vector is read as
+    it is stored, never widened."""
+    raw = F.unwrap_udt(vec)
+    stored = F.when(raw["type"] == 0, raw["indices"]).otherwise(F.sequence(F.lit(0), F.size(raw["values"]) - 1))
+    pairs = F.filter(F.arrays_zip(stored.alias("i"), raw["values"].alias("v")), lambda p: p["v"] != 0)
+    return F.transform(pairs, lambda p: p["i"])
+
+
+def vector_size(vec: Column) -> Column:
+    """Width of an ML vector."""
+    raw = F.unwrap_udt(vec)
+    return F.when(raw["type"] == 0, raw["size"]).otherwise(F.size(raw["values"])).cast("int")
+
+
+def offenders(df: DataFrame, col: str, n: int) -> DataFrame:
+    """One row with ``rows`` and ``offenders``, those with an id outside [0, n)."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if((F.col(col) < 0) | (F.col(col) >= n)).alias("offenders"))
 
 
 def bucket_and_scale(stats: DataFrame, buckets: int = QUANTILE_BUCKETS) -> DataFrame:

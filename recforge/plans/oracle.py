@@ -332,6 +332,52 @@ SELECT w AS walk_id, string_agg(CAST(item AS VARCHAR), ' ' ORDER BY step) AS pat
 FROM walk GROUP BY w"""
 
 
+# ---------------------------------------------------------------- facts about models
+def _facts(**values: str) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{k}' AS fact, CAST(({v}) AS BIGINT) AS value" for k, v in values.items())
+
+
+def fact_sql() -> dict[str, str]:
+    part = below(7, 0.8, "userId", "productId", "ts", "l_orderkey", "l_linenumber")
+    split = with_views(RATINGS, f"s AS (SELECT *, {part} AS train FROM ratings)", "t AS (SELECT * FROM s WHERE train)")
+    seq = with_views(RATINGS, POSITIVE_SEQ, "vocab AS (SELECT productId FROM pos GROUP BY productId HAVING count(*) >= 5)")
+    sample = with_views(*SAMPLE_BASE, sample_windows()) + ", x AS (SELECT userId, productId, ts AS \"timestamp\" FROM ranked) "
+    test = f"SELECT count(*) FROM x WHERE NOT ({below(1, 0.8, 'userId', 'productId', '"timestamp"')})"
+    walks = walk_sql().rsplit("SELECT w AS walk_id", 1)[0]
+    stats = with_views(RATINGS, "p AS (SELECT productId, avg(rating) AS m FROM ratings GROUP BY productId)")
+
+    def als(key: str, other: str) -> str:
+        k = f"SELECT count(DISTINCT {key}) FROM t"
+        each = f"SELECT least(10, count(DISTINCT {other})) FROM t"
+        return split + _facts(keys=k, rows_out=f"({k}) * ({each})", rank_gaps="0", rating_rises="0", subset_not_best="0",
+                              subset_keys=f"SELECT least(3, count(DISTINCT {key})) FROM t", unknown_ids="0")
+
+    ctr = {}
+    for m in ("fm", "mlp", "linear"):
+        ctr |= {f"{m}_scored": test, f"{m}_is_degenerate": "0", f"{m}_no_probability": "0", f"{m}_is_constant": "0"}
+    return {
+        "als_user_facts": als("userId", "productId"),
+        "als_item_facts": als("productId", "userId"),
+        "als_rmse_facts": split + _facts(
+            scored="SELECT count(*) FROM s WHERE NOT train AND userId IN (SELECT userId FROM t) AND productId IN (SELECT productId FROM t)",
+            not_the_dot_product="0"),
+        "als_cv_facts": "SELECT * FROM (" + _facts(grid_points="1", folds="10", rmse_out_of_range="0") + ")",
+        "item2vec_facts": seq + _facts(vectors="SELECT count(*) FROM vocab", wrong_sizes="0", not_finite="0"),
+        "graph_embedding_facts": walks + _facts(
+            vectors="SELECT count(*) FROM (SELECT item FROM walk GROUP BY item HAVING count(*) >= 5)", wrong_sizes="0", not_finite="0"),
+        "embedding_chain_facts": seq + _facts(
+            user_vectors="SELECT count(DISTINCT userId) FROM ratings WHERE productId IN (SELECT productId FROM vocab)", wrong_sizes="0",
+            neighbours="SELECT least(5, count(*)) FROM vocab", negative_distances="0", at_the_query="1"),
+        "similar_items_facts": seq + _facts(rows_out="SELECT least(20, count(*) - 1) FROM vocab", words="SELECT least(20, count(*) - 1) FROM vocab",
+                                            no_cosine="0"),
+        "lsh_facts": _facts(hashed="SELECT count(*) FROM embeddings", wrong_tables="0", finds_itself="1", too_many="0", wrong_distances="0"),
+        "bucket_facts": stats + _facts(products="SELECT count(*) FROM p", out_of_bounds="0",
+                                       at_bounds="SELECT count(*) FROM p WHERE m = (SELECT min(m) FROM p) OR m = (SELECT max(m) FROM p)", overlaps="0"),
+        "time_split_facts": sample + _facts(samples="SELECT count(*) FROM x", share_is_off="0", parts_overlap="0"),
+        "ctr_facts": sample + _facts(**ctr),
+    }
+
+
 # ---------------------------------------------------------------- model baselines
 def baseline_rmse_sql() -> str:
     part = below(7, 0.8, "userId", "productId", "ts", "l_orderkey", "l_linenumber")

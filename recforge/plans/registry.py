@@ -22,7 +22,7 @@ from recforge.operators import ctr as CTR
 from recforge.operators import item2vec as I2V
 from pyspark.ml.functions import vector_to_array
 
-from recforge.plans import oracle
+from recforge.plans import facts, oracle
 from recforge.plans.samples import minimum_slice, save_train_test, training_samples
 from recforge.session import ensure_checkpoint_dir
 from recforge.sources import files as IO
@@ -160,8 +160,9 @@ def _baseline_logloss(spark, sf):
 
 def _one_hot(spark, sf):
     enc = ENC.one_hot(fx.products(spark, sf), "productId", "v")
-    arr = vector_to_array("v")
-    return enc.select("productId", F.size(arr).alias("size"), (F.array_position(arr, 1.0) - 1).cast("int").alias("idx"))
+    return enc.select("productId", ENC.vector_size(F.col("v")).alias("size"),
+                      F.coalesce(F.get(ENC.sparse_indices(F.col("v")), 0), F.lit(-1)).alias("idx"))
+
 
 QUERIES: dict[str, Query] = {
     "training_samples": _samples,
@@ -214,7 +215,7 @@ QUERIES: dict[str, Query] = {
         "productId", F.array_join("typeIndexes", ",").alias("typeIndexes")),
     "vocabulary_size": lambda s, sf: ENC.vocabulary_size(ENC.index_types(ENC.product_types(fx.products(s, sf)))[0]),
     "multi_hot": lambda s, sf: ENC.multi_hot(fx.products(s, sf)).select(
-        "productId", F.size(vector_to_array("vector")).alias("size"),
+        "productId", ENC.vector_size(F.col("vector")).alias("size"),
         F.array_join(ENC.sparse_indices(F.col("vector")), ",").alias("indices")),
     "minmax_avg_rating": lambda s, sf: ENC.minmax(P.product_stats(_r(s, sf)).select("productId", "avgRating"),
                                                   "avgRating", "scaledAvgRating").select(
@@ -265,6 +266,19 @@ QUERIES: dict[str, Query] = {
     "ctr_linear_metrics": lambda s, sf: _ctr(s, sf, "linear"),
     "ctr_score_preview": _preview,
     "baseline_logloss": _baseline_logloss,
+    # what must hold of the models above
+    "als_user_facts": lambda s, sf: facts.als_facts(s, sf, "userIdInt"),
+    "als_item_facts": lambda s, sf: facts.als_facts(s, sf, "productIdInt"),
+    "als_rmse_facts": facts.als_rmse_facts,
+    "als_cv_facts": facts.als_cv_facts,
+    "item2vec_facts": facts.item2vec_facts,
+    "graph_embedding_facts": facts.graph_embedding_facts,
+    "embedding_chain_facts": facts.embedding_chain_facts,
+    "similar_items_facts": lambda s, sf: facts.similar_items_facts(s, sf, _similar(s, sf)),
+    "lsh_facts": facts.lsh_facts,
+    "bucket_facts": facts.bucket_facts,
+    "time_split_facts": facts.time_split_facts,
+    "ctr_facts": lambda s, sf: facts.ctr_facts(s, sf, _sample_split),
 }
 
 ORACLE: dict[str, str] = {
@@ -278,4 +292,5 @@ ORACLE: dict[str, str] = {
     **oracle.encoder_sql(),
     **oracle.split_sql(),
     "random_walks": oracle.walk_sql(),
+    **oracle.fact_sql(),
 }
