@@ -143,7 +143,7 @@ def bucket_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Buckets don't overlap, and scaling keeps order and bounds."""
     out = ENC.bucket_and_scale(P.product_stats(fx.ratings(spark, sf)))
     from pyspark.ml.functions import vector_to_array
-    scaled = vector_to_array("scaleAvgRating")[0]
+    scaled = F.round(vector_to_array("scaleAvgRating")[0], 9)
     ends = out.groupBy("ratingCountBucket").agg(F.min("ratingCount").alias("lo"), F.max("ratingCount").alias("hi"))
     before = F.lag("hi").over(Window.orderBy("ratingCountBucket"))  # a row for each bucket
     overlap = ends.withColumn("_before", before).agg(F.count_if(F.col("lo") <= F.col("_before")).alias("overlaps"))

@@ -208,6 +208,20 @@ def embedding_sql() -> dict[str, str]:
               lambda i: (CAST(a[i] AS DOUBLE) + CAST(b[i] AS DOUBLE)) * (CAST(a[i] AS DOUBLE) + CAST(b[i] AS DOUBLE))
                         - (CAST(a[i] AS DOUBLE) * CAST(a[i] AS DOUBLE) + CAST(b[i] AS DOUBLE) * CAST(b[i] AS DOUBLE)))), 4) AS fm
             FROM f""",
+        "fm_dimensions": with_views(RATINGS, USER_EMB) + """, f AS (
+            SELECT p.userId, p.productId, u.emb AS a, e.embedding AS b, (SELECT embedding FROM embeddings WHERE vec_id = 0) AS z
+            FROM (SELECT DISTINCT userId, productId FROM ratings) p
+            JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId)
+            SELECT userId, productId, array_to_string(list_transform(range(1, len(a) + 1), lambda i: CAST(CAST(round(1000 * (
+              (CAST(a[i] AS DOUBLE) + CAST(b[i] AS DOUBLE) + CAST(z[i] AS DOUBLE)) * (CAST(a[i] AS DOUBLE) + CAST(b[i] AS DOUBLE) + CAST(z[i] AS DOUBLE))
+              - (CAST(a[i] AS DOUBLE) * CAST(a[i] AS DOUBLE) + CAST(b[i] AS DOUBLE) * CAST(b[i] AS DOUBLE) + CAST(z[i] AS DOUBLE) * CAST(z[i] AS DOUBLE)))) AS BIGINT) AS VARCHAR)), ',') AS terms
+            FROM f""",
+        "four_dots": with_views(RATINGS, USER_EMB) + f""", f AS (
+            SELECT p.userId, p.productId, u.emb AS a, e.embedding AS b, (SELECT embedding FROM embeddings WHERE vec_id = 0) AS z
+            FROM (SELECT DISTINCT userId, productId FROM ratings) p
+            JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId)
+            SELECT userId, productId, round({_dot('b', 'a')}, 4) AS item_user, round({_dot('b', 'z')}, 4) AS item_base,
+              round({_dot('a', 'z')}, 4) AS user_base, round({_dot('b', 'b')}, 4) AS item_item FROM f""",
         "pair_dots": with_views(RATINGS, USER_EMB) + f""", f AS (
             SELECT p.userId, p.productId, u.emb AS a, e.embedding AS b
             FROM (SELECT DISTINCT userId, productId FROM ratings) p
@@ -265,6 +279,10 @@ def encoder_sql() -> dict[str, str]:
             CASE WHEN userId >= 0 AND userId < 30001 THEN userId END AS userIdx FROM ratings""",
         "vocab_index": pt + f"""SELECT productId, type,
             CAST(coalesce(list_position({vocab}, type) - 1, -1) AS INTEGER) AS vocabIndex FROM tx""",
+        "vocab_index_hits": pt + """SELECT productId, type, CAST(coalesce(list_position(
+            ['ECONOMY', 'PROMO', 'STANDARD', 'blue', 'gear', 'red'], type) - 1, -1) AS INTEGER) AS vocabIndex FROM tx""",
+        "id_offenders": with_views(RATINGS) + """SELECT count(*) AS rows,
+            count(*) FILTER (productId < 0 OR productId >= 100) AS offenders FROM ratings""",
         "indicator": pt + """SELECT productId, type, typeIndex,
             CAST(CASE WHEN typeIndex >= 0 AND typeIndex < 10 THEN typeIndex ELSE -1 END AS INTEGER) AS hot
             FROM tx JOIN ti USING (type)""",
@@ -344,7 +362,7 @@ def fact_sql() -> dict[str, str]:
     sample = with_views(*SAMPLE_BASE, sample_windows()) + ", x AS (SELECT userId, productId, ts AS \"timestamp\" FROM ranked) "
     test = f"SELECT count(*) FROM x WHERE NOT ({below(1, 0.8, 'userId', 'productId', '"timestamp"')})"
     walks = walk_sql().rsplit("SELECT w AS walk_id", 1)[0]
-    stats = with_views(RATINGS, "p AS (SELECT productId, avg(rating) AS m FROM ratings GROUP BY productId)")
+    stats = with_views(RATINGS, "p AS (SELECT productId, round(avg(rating), 9) AS m FROM ratings GROUP BY productId)")
 
     def als(key: str, other: str) -> str:
         k = f"SELECT count(DISTINCT {key}) FROM t"

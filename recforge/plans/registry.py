@@ -58,12 +58,33 @@ def _distinct_pairs_with_fields(spark, sf):
     return pairs.join(u, "userId").join(i, "productId")
 
 
+def _fields(spark, sf):
+    """Field vectors of each rated pair: the user's (a), the item's (b) and that of item 0 (z)."""
+    base = E.query_vector(fx.vectors(spark, sf), 0)
+    return _distinct_pairs_with_fields(spark, sf).withColumn("z", base)
+
+
+def _fm_dimensions(spark, sf):
+    terms = E.fm_interaction([F.col("a"), F.col("b"), F.col("z")])
+    thousandths = F.transform(terms, lambda x: F.round(x * 1000).cast("long").cast("string"))
+    return _fields(spark, sf).select("userId", "productId", F.array_join(thousandths, ",").alias("terms"))
+
+
+def _four_dots(spark, sf):
+    a, b, z = F.col("a"), F.col("b"), F.col("z")
+    dots = E.pair_dots({"item_user": (b, a), "item_base": (b, z), "user_base": (a, z), "item_item": (b, b)})
+    rows = _fields(spark, sf).select("userId", "productId", *dots)
+    return rows.select("userId", "productId", *[F.round(c, 4).alias(c) for c in ("item_user", "item_base", "user_base", "item_item")])
+
+
 def _timeline(spark, sf):
     r = _r(spark, sf)
     first = r.agg(F.min("userId")).scalar()
     return r.where(F.col("userId") == first).orderBy(*fx.RATING_ORDER)
 
 
+# Types that the fixture's products have, for a vocabulary with hits.
+FIXTURE_WORDS = ["ECONOMY", "PROMO", "STANDARD", "blue", "gear", "red"]
 ORDER = list(fx.RATING_ORDER)
 KEY = ["userId", "productId", "timestamp"]
 
@@ -207,6 +228,8 @@ QUERIES: dict[str, Query] = {
         "userId", "productId",
         F.round(V.dot(F.col("b"), F.col("a")), 4).alias("item_user"),
         F.round(V.dot(F.col("b"), F.col("b")), 6).alias("item_item")),
+    "fm_dimensions": _fm_dimensions,
+    "four_dots": _four_dots,
     # encoders
     "one_hot": _one_hot,
     "type_index": lambda s, sf: ENC.index_types(ENC.product_types(fx.products(s, sf)))[0].select(
@@ -228,6 +251,9 @@ QUERIES: dict[str, Query] = {
         ENC.identity_index(F.col("userId"), ENC.USER_ID_BUCKETS).alias("userIdx")),
     "vocab_index": lambda s, sf: ENC.product_types(fx.products(s, sf)).select(
         "productId", "type", ENC.vocab_index(F.col("type")).alias("vocabIndex")),
+    "vocab_index_hits": lambda s, sf: ENC.product_types(fx.products(s, sf)).select(
+        "productId", "type", ENC.vocab_index(F.col("type"), FIXTURE_WORDS).alias("vocabIndex")),
+    "id_offenders": lambda s, sf: ENC.offenders(_r(s, sf), "productId", 100),
     "indicator": lambda s, sf: ENC.indicator(
         ENC.index_types(ENC.product_types(fx.products(s, sf)))[0], "typeIndexInt", 10, "v").select(
         "productId", "type", F.col("typeIndexInt").alias("typeIndex"),
