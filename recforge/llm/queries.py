@@ -68,7 +68,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """The contaminated documents, with the items found in them; clean documents have no row."""
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.where("contaminated").select("doc_id", "items", "coverage")
 
 
 QUERIES = {f.__name__: f for f in (

@@ -48,31 +48,40 @@ def start_cdf(pairs: DataFrame, parts: int = RANGE_PARTS) -> DataFrame:
     return prefix_sum(pairs.groupBy("src").agg(F.sum("cnt").cast("long").alias("cnt")), ["src"], "cnt", parts=parts)
 
 
-def take(walkers: DataFrame, intervals: DataFrame, rows: int = GROUP_ROWS) -> DataFrame:
-    """(w, item): each walker (g, w, draw) takes the first interval of its group with ``hi`` above the draw
-    modulo the group's total.
+def interval_sizes(intervals: DataFrame, rows: int = GROUP_ROWS) -> DataFrame:
+    """g, total (its last cumulative count) and _width, that of each sub-range of a group of many intervals."""
+    return intervals.groupBy("g").agg(F.max("hi").alias("total"), F.ceil(F.count(F.lit(1)) / rows).alias("_subs")) \
+        .select("g", "total", F.ceil(F.col("total") / F.col("_subs")).cast("long").alias("_width"))
 
-    ``intervals`` has g, item, cnt and hi (cumulative within g); walkers of a group without intervals get no row.
+
+def take(walkers: DataFrame, intervals: DataFrame, sizes: DataFrame, rows: int = GROUP_ROWS, crowded: bool = True) -> DataFrame:
+    """(w, path, item): each walker (g, w, path, draw) takes the first interval of its group with ``hi`` above
+    the draw modulo the group's total; in a group without intervals its item is null.
+
+    ``intervals`` has g, item, cnt and hi (cumulative within g), ``sizes`` is theirs.  ``crowded`` says
+    that a group may have more than ``rows`` walkers; it needn't be counted if there are no more in all.
     """
-    sizes = intervals.groupBy("g").agg(F.max("hi").alias("total"), F.ceil(F.count(F.lit(1)) / rows).alias("_subs"))
-    crowds = walkers.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("_copies"))
-    info = sizes.join(crowds, "g").select(
-        "g", "total", "_copies", F.ceil(F.col("total") / F.col("_subs")).cast("long").alias("_width"))
-    stand = walkers.join(info, "g").withColumn("at", F.pmod("draw", "total")).select(
-        "g", F.floor(F.col("at") / F.col("_width")).alias("_sub"), F.pmod("w", "_copies").cast("int").alias("_copy"),
-        "at", F.lit(1).alias("_kind"), "w", F.lit(None).cast("long").alias("item"))
+    info = sizes.withColumn("_copies", F.lit(1))
+    if crowded:
+        crowds = walkers.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("_copies"))
+        info = sizes.join(crowds, "g")
+    stand = walkers.join(info, "g", "left").withColumn("at", F.pmod("draw", "total")).select(
+        # A walker that can't go on is a group of its own.
+        "g", F.coalesce(F.floor(F.col("at") / F.col("_width")), F.col("w")).alias("_sub"),
+        F.pmod("w", "_copies").cast("int").alias("_copy"), "at", F.lit(1).alias("_kind"), "w", "path", F.lit(None).cast("long").alias("item"))
     # An interval lies in every sub-range that it reaches into, at the last place it has there.
     lo, last = F.floor((F.col("hi") - F.col("cnt")) / F.col("_width")), F.floor((F.col("hi") - 1) / F.col("_width"))
     laid = intervals.join(info, "g") \
         .select("*", F.explode(F.sequence(lo, last)).alias("_sub")) \
         .select("*", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")) \
         .select("g", "_sub", "_copy", F.least(F.col("hi") - 1, (F.col("_sub") + 1) * F.col("_width") - 1).alias("at"),
-                F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("w"), F.col("item").cast("long").alias("item"))
+                F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("w"), F.lit(None).cast("array<long>").alias("path"),
+                F.col("item").cast("long").alias("item"))
     # From the end backwards, an interval comes before the walkers that it serves.
     order = Window.partitionBy("g", "_sub", "_copy").orderBy(F.desc("at"), "_kind") \
         .rowsBetween(Window.unboundedPreceding, 0)
     return stand.unionByName(laid).withColumn("item", F.last("item", ignorenulls=True).over(order)) \
-        .where("_kind = 1").select("w", "item")
+        .where("_kind = 1").select("w", "path", "item")
 
 
 def random_walks(
@@ -88,6 +97,7 @@ def random_walks(
     """walk_id, path (array<long>, 1..length items).  Building the plan runs the jobs of the checkpoints."""
     edges = edge_cdf(pairs.select("src", "dst", "cnt")).checkpoint()
     intervals = edges.select(F.col("src").alias("g"), F.col("dst").alias("item"), "cnt", "hi")
+    sizes, crowded = interval_sizes(intervals, rows).checkpoint(), n_walks > rows
     starts = start_cdf(edges, parts)
     grand = starts.agg(F.max("hi")).scalar()
     # Lower bounds of the ranges, sorted: one entry for each.
@@ -96,23 +106,23 @@ def random_walks(
     first = spark.range(n_walks).select(F.col("id").alias("w"), F.pmod(draw(seed, F.col("id"), F.lit(0)), grand).alias("u"),
                                         bounds.alias("_bounds"))
     first = first.select("w", "u", F.element_at(F.filter("_bounds", lambda b: b["lo"] <= F.col("u")), -1).alias("_b")) \
-        .where("_b is not null").select(F.col("_b._p").alias("g"), "w", (F.col("u") - F.col("_b.lo")).alias("draw"))
+        .where("_b is not null").select(F.col("_b._p").alias("g"), "w", F.array().cast("array<long>").alias("path"),
+                                        (F.col("u") - F.col("_b.lo")).alias("draw"))
     own = Window.partitionBy("_p")
     ranges = starts.withColumn("_lo", F.min(F.col("hi") - F.col("cnt")).over(own)).select(
         F.col("_p").alias("g"), F.col("src").alias("item"), "cnt", (F.col("hi") - F.col("_lo")).alias("hi"))
-    cur = take(first, ranges, rows).withColumn("path", F.array("item")).checkpoint()
-    done = []
+    cur = take(first, ranges, interval_sizes(ranges, rows), rows, crowded) \
+        .withColumn("path", F.array("item")).checkpoint()
+    ended = []
     for k in range(1, length):
-        step = take(cur.select(F.col("item").alias("g"), "w", draw(seed, F.col("w"), F.lit(k)).alias("draw")), intervals, rows)
-        moved = cur.join(step.withColumnRenamed("item", "next"), "w", "left")
-        moved = moved.select("w", F.col("next").alias("item"), F.when(F.col("next").isNull(), F.col("path"))
-                             .otherwise(F.concat("path", F.array("next"))).alias("path"))
-        if k % keep == 0 and k + 1 < length:
-            moved = moved.checkpoint()
-            done.append(moved.where("item is null").select("w", "path"))
-            moved = moved.where("item is not null")
-        cur = moved
+        at = cur.select(F.col("item").alias("g"), "w", "path", draw(seed, F.col("w"), F.lit(k)).alias("draw"))
+        cur = take(at, intervals, sizes, rows, crowded) \
+            .withColumn("path", F.when(F.col("item").isNull(), F.col("path")).otherwise(F.concat("path", F.array("item"))))
+        if (crowded or k % keep == 0) and k + 1 < length:
+            cur = cur.checkpoint()
+            ended.append(cur.where("item is null").select("w", "path"))
+            cur = cur.where("item is not null")
     out = cur.select("w", "path")
-    for walks in done:
+    for walks in ended:
         out = out.unionByName(walks)
     return out.select(F.col("w").alias("walk_id"), "path")

@@ -80,8 +80,9 @@ def test_hot_items_are_split_without_changing_a_walk(spark):
     plain = sorted(map(str, W.random_walks(spark, pairs, n_walks=300, length=5, seed=4).collect()))
     split = sorted(map(str, W.random_walks(spark, pairs, n_walks=300, length=5, seed=4, rows=7, keep=2).collect()))
     assert plain == split
-    plan = W.take(spark.createDataFrame([(0, 1, 5)], "g long, w long, draw long"),
-                  spark.createDataFrame([(0, 1, 2, 2)], "g long, item long, cnt long, hi long"))._jdf.queryExecution().toString()
+    intervals = spark.createDataFrame([(0, 1, 2, 2)], "g long, item long, cnt long, hi long")
+    walkers = spark.createDataFrame([(0, 1, [0], 5)], "g long, w long, path array<long>, draw long")
+    plan = W.take(walkers, intervals, W.interval_sizes(intervals))._jdf.queryExecution().toString()
     assert "Pandas" not in plan and "Python" not in plan
 
 
