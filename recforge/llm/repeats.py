@@ -15,12 +15,12 @@ Every window of ``N`` bytes that also starts elsewhere in the corpus is found:
    their first N bytes; equal neighbours are compared byte by byte.  The
    parse gives their multiplicities.  (Equality on N bytes is all that removal needs, so the order is
    by hash and not by alphabet.)  Entries of a trigger with more than ``FULL`` of
-   them are never gathered: their windows are counted by hash, summed before the shuffle.
+   them are never gathered: they are cut into smaller and smaller pieces, and equal pieces are counted.
 5. What the parse says of each text is put together, and covered bytes are cut out.
 
 Texts take part once, however many rows hold them; a text of N bytes or more
-that two rows hold is repeated as a whole.  Hashes of texts and, for hot triggers,
-of windows are 64 bits wide and taken for what they hash.
+that two rows hold is repeated as a whole.  Hashes of texts are 64 bits
+wide, those of entries and pieces 128; they are taken for what they hash.
 
 Nulls: a null text has no bytes.  Repeated rows are copies of each other.  Empty
 table: no rows.
@@ -42,6 +42,7 @@ from recforge.llm import grams
 N = 200  # bytes of a repeated string
 W = 48  # bytes of a trigger string
 FULL = 64  # entries of one trigger that one task puts in order
+WIDTHS = (16, 4, 1)  # windows of the pieces into which entries of other triggers are cut
 _CHUNK = 1 << 20  # bytes for which hashes are kept at a time
 _SLICE = 1 << 23  # bytes of a longer text that are looked at together
 _PLACE = np.uint64((1 << 24) - 1)
@@ -54,9 +55,10 @@ def byte_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return grams.spread((sums[size:] - sums[:-size]) * down[:len(sums) - size])
 
 
-def parse(data: np.ndarray, bounds: np.ndarray, n: int = N, w: int = W) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, trigger hash) of the phrases of rows laid end to end; a phrase is a run of window starts."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def parse(data: np.ndarray, bounds: np.ndarray, n: int = N, w: int = W) -> tuple[np.ndarray, ...]:
+    """(start, length, trigger hash, trigger's distance) of the phrases of rows laid end to end; a phrase is a
+    run of window starts, and the distance is from its first one."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if len(data) < n:
         return none
     h = byte_hashes(data, w)
@@ -78,11 +80,11 @@ def parse(data: np.ndarray, bounds: np.ndarray, n: int = N, w: int = W) -> tuple
         return none
     own = trigger[starts]
     first = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (starts[1:] != starts[:-1] + 1)]))
-    return starts[first], np.diff(np.append(first, len(starts))), h[own[first]]
+    return starts[first], np.diff(np.append(first, len(starts))), h[own[first]], own[first] - starts[first]
 
 
-def parsed(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, starts, lengths, triggers) of each row with a phrase; starts are places in the row."""
+def parsed(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple]:
+    """(row, starts, lengths, triggers, distances) of each row with a phrase; starts are places in the row."""
     lo = 0
     while lo < len(bounds) - 1:
         hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + _CHUNK, side="right")) - 1)
@@ -90,12 +92,12 @@ def parsed(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarr
         if len(part) > _SLICE:  # one long row, in slices that share what windows look ahead
             found = [(at, *parse(x, np.array([0, len(x)]))) for at in range(0, len(part) - N + 1, _SLICE)
                      for x in [part[at:at + _SLICE + N - 1]]]
-            starts, lengths, triggers = (np.concatenate(x) for x in zip(*((s + at, n, t) for at, s, n, t in found)))
+            starts, lengths, triggers, leads = (np.concatenate(x) for x in zip(*((s + at, *x) for at, s, *x in found)))
         else:
-            starts, lengths, triggers = parse(part, ends)
+            starts, lengths, triggers, leads = parse(part, ends)
         row = np.searchsorted(ends, starts, side="right") - 1
         for r, a, b in zip(*(x.tolist() for x in runs(row))):
-            yield lo + r, starts[a:b] - ends[r], lengths[a:b], triggers[a:b]
+            yield lo + r, starts[a:b] - ends[r], lengths[a:b], triggers[a:b], leads[a:b]
         lo = hi
 
 
@@ -106,17 +108,17 @@ def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 _PARSE = pa.schema([("tid", pa.int64()), ("phrases", pa.list_(pa.struct([
-    ("start", pa.int64()), ("n", pa.int32()), ("trigger", pa.int64())])))])
+    ("start", pa.int64()), ("n", pa.int32()), ("trigger", pa.int64()), ("lead", pa.int32())])))])
 
 
 def phrases(rows: DataFrame) -> DataFrame:
-    """(tid, start, n, trigger) of every phrase of (tid, text)."""
+    """(tid, start, n, trigger, lead) of every phrase of (tid, text)."""
     def run(batches):
         for batch in batches:
             ids, out, ends, parts = batch.column(0).to_numpy(), [], [0], []
-            for r, starts, lengths, triggers in parsed(*C.flat(batch.column(1))):
+            for r, starts, lengths, triggers, leads in parsed(*C.flat(batch.column(1))):
                 out.append(ids[r])
-                parts.append((starts, lengths.astype(np.int32), triggers.view(np.int64)))
+                parts.append((starts, lengths.astype(np.int32), triggers.view(np.int64), leads.astype(np.int32)))
                 ends.append(ends[-1] + len(starts))
             if out:
                 structs = pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)],
@@ -124,13 +126,13 @@ def phrases(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)], schema=_PARSE)
 
-    return rows.mapInArrow(run, "tid bigint, phrases array<struct<start:bigint,n:int,trigger:bigint>>") \
+    return rows.mapInArrow(run, "tid bigint, phrases array<struct<start:bigint,n:int,trigger:bigint,lead:int>>") \
         .select("tid", F.inline("phrases"))
 
 
-_ENTRY = pa.schema([("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("trigger", pa.int64()),
+_ENTRY = pa.schema([("tid", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("trigger", pa.int64()), ("lead", pa.int32()),
                     ("entry", pa.binary()), ("raw", pa.binary())])
-_ENTRY_DDL = "tid bigint, start bigint, n int, trigger bigint, entry binary, raw binary"
+_ENTRY_DDL = "tid bigint, start bigint, n int, trigger bigint, lead int, entry binary, raw binary"
 
 
 def entries(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -143,7 +145,7 @@ def entries(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 digest = [hashlib.blake2b(r, digest_size=16).digest() for r in raw]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(
-                        ([tid] * len(raw), *([p[k] for p in found] for k in ("start", "n", "trigger")), digest, raw),
+                        ([tid] * len(raw), *([p[k] for p in found] for k in ("start", "n", "trigger", "lead")), digest, raw),
                         _ENTRY)], schema=_ENTRY)
 
     def packed(batches):  # Spark's rows would go out one small batch a text; gather them
@@ -231,23 +233,46 @@ def marked_in_order(dictionary: DataFrame) -> DataFrame:
         .sortWithinPartitions("trigger").mapInArrow(run, _MARKS_DDL)
 
 
-def marked_by_count(dictionary: DataFrame) -> DataFrame:
-    """(entry, ranges) of entries of any number: windows of equal hash are counted, hot ones in parts."""
-    schema = pa.schema([("entry", pa.binary()), ("window", pa.int64()), ("at", pa.int32()), ("count", pa.int64())])
+_PIECES = pa.schema([("entry", pa.binary()), ("at", pa.int32()), ("n", pa.int32()), ("lead", pa.int32()),
+                     ("piece", pa.binary()), ("raw", pa.binary()), ("count", pa.int64())])
+_PIECES_DDL = "entry binary, at int, n int, lead int, piece binary, raw binary, count bigint"
+
+
+def pieces_of(dictionary: DataFrame, width: int) -> DataFrame:
+    """Entries cut into pieces of at most ``width`` windows, at distances from the trigger that are the same in
+    all entries, so that what entries share becomes equal pieces."""
+    def cut(entry, raw, n, lead, count):
+        out = {k: [] for k in _PIECES.names}
+        for e, r, m, d, c in zip(*(x.to_pylist() for x in (entry, raw, n, lead, count))):
+            a = 0
+            while a < m:
+                b = min(m, a + (d - a) % width + 1)  # d - a, the distance to the trigger, shrinks along the entry
+                part = r[a:b - 1 + N]
+                for k, v in zip(_PIECES.names, (e, a, b - a, d - a, hashlib.blake2b(part, digest_size=16).digest(), part, c)):
+                    out[k].append(v)
+                a = b
+        return out
 
-    def run(batches):
-        for batch in batches:
-            raw, n, entry, count = (batch.column(batch.schema.get_field_index(c)) for c in ("raw", "n", "entry", "count"))
-            lengths = n.to_numpy()
-            data, of, place, h = windows(raw.to_pylist(), lengths)
-            at = np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            yield pa.RecordBatch.from_arrays([entry.take(pa.array(of)), pa.array(h.view(np.int64)),
-                                              pa.array(at.astype(np.int32)), pa.array(count.to_numpy()[of])], schema=schema)
+    return dictionary.mapInArrow(C.by_batch(cut, _PIECES, "entry", "raw", "n", "lead", "count"), _PIECES_DDL)
+
+
+def marked_by_count(dictionary: DataFrame, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
+    """(entry, ranges) of any number of entries of a trigger, none of which are gathered.
 
-    rows = dictionary.mapInArrow(run, "entry binary, window bigint, at int, count bigint")
-    again = rows.groupBy("window").agg(F.sum("count").alias("n")).where("n > 1").select("window")
-    return rows.join(again, "window").groupBy("entry") \
-        .agg(F.transform(F.array_sort(F.collect_set("at")), lambda x: F.array(x, x + 1)).alias("ranges"))
+    Entries are cut into pieces, and equal pieces counted, summed in tasks before the shuffle.
+    A piece that occurs twice is repeated as a whole.  The distinct pieces are
+    cut again, down to single windows, and what that says of a piece that occurs once goes back to its entry.
+    """
+    width, *finer = widths
+    pieces = C.written(pieces_of(dictionary, width), "pieces")
+    distinct = C.written(pieces.groupBy(F.col("piece").alias("entry")).agg(
+        F.first("raw").alias("raw"), F.first("n").alias("n"), F.first("lead").alias("lead"), F.sum("count").alias("count")), "distinct")
+    marks = distinct.where("count > 1").select(F.col("entry").alias("piece"), F.array(F.array(F.lit(0), "n")).alias("ranges"))
+    if finer:
+        once = distinct.where("count = 1").select("entry")
+        marks = marks.unionByName(marked_by_count(distinct, tuple(finer)).join(once, "entry").withColumnRenamed("entry", "piece"))
+    return pieces.select("entry", "at", "piece").join(C.written(marks, "piece-marks"), "piece").groupBy("entry").agg(
+        F.flatten(F.collect_list(F.transform("ranges", lambda r: F.array(F.col("at") + r[0], F.col("at") + r[1])))).alias("ranges"))
 
 
 def text_marks(rows: DataFrame, full: int = FULL) -> DataFrame:
@@ -257,16 +282,18 @@ def text_marks(rows: DataFrame, full: int = FULL) -> DataFrame:
     # A trigger string that occurs at two places at least; copies of a text are one place.
     shared = found.groupBy("trigger").agg(F.min(occurrence).alias("a"), F.max(occurrence).alias("b")) \
         .where("a != b").select("trigger")
+    shared = C.written(shared, "shared")  # a table of its own, so that Spark can split a hot trigger in the join
     wanted = found.join(shared, "trigger").groupBy("tid") \
-        .agg(F.collect_set(F.struct("start", "n", "trigger")).alias("phrases"))
+        .agg(F.collect_set(F.struct("start", "n", "trigger", "lead")).alias("phrases"))
     texts = rows.groupBy("tid").agg(F.first("text").alias("text"))
     parsed_entries = C.written(entries(texts, wanted), "entries")
     dictionary = C.written(parsed_entries.groupBy("trigger", "entry", "n").agg(
-        F.first("raw").alias("raw"), F.count("*").alias("count")), "dictionary")
+        F.first("raw").alias("raw"), F.first("lead").alias("lead"), F.count("*").alias("count")), "dictionary")
     sizes = dictionary.groupBy("trigger").agg(F.count("*").alias("size"))
     hot = C.written(sizes.where(F.col("size") > full).select("trigger"), "hot")
-    marks = marked_in_order(dictionary.join(hot, "trigger", "left_anti")) \
-        .unionByName(marked_by_count(dictionary.join(hot, "trigger", "left_semi")))
+    marks = marked_in_order(dictionary.join(hot, "trigger", "left_anti"))
+    if not hot.isEmpty():
+        marks = marks.unionByName(marked_by_count(dictionary.join(hot, "trigger", "left_semi")))
     return parsed_entries.select("tid", "start", "entry").join(marks, "entry").groupBy("tid") \
         .agg(F.flatten(F.collect_list(F.transform("ranges", lambda r: F.struct(
             (F.col("start") + r[0]).alias("a"), (F.col("start") + r[1] - 1 + N).alias("b"))))).alias("marks"))
