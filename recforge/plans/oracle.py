@@ -200,6 +200,15 @@ def embedding_sql() -> dict[str, str]:
             JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId),
             rk AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, productId) AS rank FROM sc)
             SELECT userId, productId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""",
+        "two_tower_new_items": with_views(RATINGS, POSITIVE_SEQ, PAIRS, USER_EMB) + f""", fo AS (
+            SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY cnt DESC, dst) AS k FROM pairs) WHERE k <= 10),
+            rated AS (SELECT DISTINCT userId, productId FROM ratings),
+            cand AS (SELECT DISTINCT userId, dst AS productId FROM rated JOIN fo ON src = productId
+                     EXCEPT SELECT userId, productId FROM rated),
+            sc AS (SELECT p.userId, p.productId, {_dot('u.emb', 'e.embedding')} AS score
+            FROM cand p JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId),
+            rk AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, productId) AS rank FROM sc)
+            SELECT userId, productId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""",
         "fm_interaction": with_views(RATINGS, USER_EMB) + f""", f AS (
             SELECT p.userId, p.productId, u.emb AS a, e.embedding AS b
             FROM (SELECT DISTINCT userId, productId FROM ratings) p

@@ -221,6 +221,9 @@ QUERIES: dict[str, Query] = {
     "most_similar": lambda s, sf: E.most_similar(fx.vectors(s, sf), 0, 20).select("vec_id", _round("similarity")),
     "two_tower_scores": lambda s, sf: E.two_tower_scores(_r(s, sf), _user_emb(s, sf), fx.item_vectors(s, sf), 10).select(
         "userId", "productId", _round("score"), "rank"),
+    "two_tower_new_items": lambda s, sf: E.two_tower_scores(
+        E.next_item_candidates(_r(s, sf), Q.pair_counts(_r(s, sf), ORDER)), _user_emb(s, sf), fx.item_vectors(s, sf), 10).select(
+        "userId", "productId", _round("score"), "rank"),
     "fm_interaction": lambda s, sf: _distinct_pairs_with_fields(s, sf).select(
         "userId", "productId",
         F.round(F.aggregate(E.fm_interaction([F.col("a"), F.col("b")]), F.lit(0.0), lambda acc, x: acc + x), 4).alias("fm")),
