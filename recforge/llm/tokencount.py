@@ -49,7 +49,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str) -> DataFrame:
                 "n_tokens": [len(ids(t)) for t in text.to_pylist()]}
 
     misses.mapInArrow(C.by_batch(encode, _COUNTS, "content", "text"), CACHE_DDL).write.mode("append").parquet(cache)
-    counts = read_cache(spark, cache).where(F.col("tokenizer") == version) \
-        .groupBy("content").agg(F.min("n_tokens").alias("n_tokens"))
+    # A table of its own, so that Spark can split a hot content in the join.
+    counts = C.written(read_cache(spark, cache).where(F.col("tokenizer") == version)
+                       .groupBy("content").agg(F.min("n_tokens").alias("n_tokens")), "counts")
     return rows.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), "content") \
         .join(counts, "content").select("doc_id", "n_bytes", "n_tokens")
