@@ -54,29 +54,34 @@ def interval_sizes(intervals: DataFrame, rows: int = GROUP_ROWS) -> DataFrame:
         .select("g", "total", F.ceil(F.col("total") / F.col("_subs")).cast("long").alias("_width"))
 
 
-def take(walkers: DataFrame, intervals: DataFrame, sizes: DataFrame, rows: int = GROUP_ROWS, crowded: bool = True) -> DataFrame:
-    """(w, path, item): each walker (g, w, path, draw) takes the first interval of its group with ``hi`` above
+def lay(intervals: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Intervals (g, item, cnt, hi) at the last place that each has in every sub-range that it reaches into."""
+    lo, last = F.floor((F.col("hi") - F.col("cnt")) / F.col("_width")), F.floor((F.col("hi") - 1) / F.col("_width"))
+    return intervals.join(sizes, "g").select("*", F.explode(F.sequence(lo, last)).alias("_sub")).select(
+        "g", "_sub", F.least(F.col("hi") - 1, (F.col("_sub") + 1) * F.col("_width") - 1).alias("at"),
+        F.col("item").cast("long").alias("item"))
+
+
+def take(walkers: DataFrame, laid: DataFrame, sizes: DataFrame, rows: int = GROUP_ROWS, crowded: bool = True) -> DataFrame:
+    """(w, path, item): each walker (g, w, path, draw) takes the first interval of its group that ends above
     the draw modulo the group's total; in a group without intervals its item is null.
 
-    ``intervals`` has g, item, cnt and hi (cumulative within g), ``sizes`` is theirs.  ``crowded`` says
-    that a group may have more than ``rows`` walkers; it needn't be counted if there are no more in all.
+    ``laid`` and ``sizes`` are of the intervals.  ``crowded`` says that a group may have more than
+    ``rows`` walkers; it needn't be counted if there are no more in all.
     """
-    info = sizes.withColumn("_copies", F.lit(1))
+    info, laid = sizes.withColumn("_copies", F.lit(1)), laid.withColumn("_copy", F.lit(0))
     if crowded:
         crowds = walkers.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("_copies"))
         info = sizes.join(crowds, "g")
+        laid = laid.drop("_copy").join(crowds, "g") \
+            .select("*", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"))
     stand = walkers.join(info, "g", "left").withColumn("at", F.pmod("draw", "total")).select(
         # A walker that can't go on is a group of its own.
         "g", F.coalesce(F.floor(F.col("at") / F.col("_width")), F.col("w")).alias("_sub"),
-        F.pmod("w", "_copies").cast("int").alias("_copy"), "at", F.lit(1).alias("_kind"), "w", "path", F.lit(None).cast("long").alias("item"))
-    # An interval lies in every sub-range that it reaches into, at the last place it has there.
-    lo, last = F.floor((F.col("hi") - F.col("cnt")) / F.col("_width")), F.floor((F.col("hi") - 1) / F.col("_width"))
-    laid = intervals.join(info, "g") \
-        .select("*", F.explode(F.sequence(lo, last)).alias("_sub")) \
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy")) \
-        .select("g", "_sub", "_copy", F.least(F.col("hi") - 1, (F.col("_sub") + 1) * F.col("_width") - 1).alias("at"),
-                F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("w"), F.lit(None).cast("array<long>").alias("path"),
-                F.col("item").cast("long").alias("item"))
+        F.pmod("w", "_copies").cast("int").alias("_copy"), "at", F.lit(1).alias("_kind"), "w", "path",
+        F.lit(None).cast("long").alias("item"))
+    laid = laid.select("g", "_sub", "_copy", "at", F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("w"),
+                       F.lit(None).cast("array<long>").alias("path"), "item")
     # From the end backwards, an interval comes before the walkers that it serves.
     order = Window.partitionBy("g", "_sub", "_copy").orderBy(F.desc("at"), "_kind") \
         .rowsBetween(Window.unboundedPreceding, 0)
@@ -98,6 +103,7 @@ def random_walks(
     edges = edge_cdf(pairs.select("src", "dst", "cnt")).checkpoint()
     intervals = edges.select(F.col("src").alias("g"), F.col("dst").alias("item"), "cnt", "hi")
     sizes, crowded = interval_sizes(intervals, rows).checkpoint(), n_walks > rows
+    laid = lay(intervals, sizes).checkpoint()
     starts = start_cdf(edges, parts)
     grand = starts.agg(F.max("hi")).scalar()
     # Lower bounds of the ranges, sorted: one entry for each.
@@ -111,12 +117,13 @@ def random_walks(
     own = Window.partitionBy("_p")
     ranges = starts.withColumn("_lo", F.min(F.col("hi") - F.col("cnt")).over(own)).select(
         F.col("_p").alias("g"), F.col("src").alias("item"), "cnt", (F.col("hi") - F.col("_lo")).alias("hi"))
-    cur = take(first, ranges, interval_sizes(ranges, rows), rows, crowded) \
+    range_sizes = interval_sizes(ranges, rows)
+    cur = take(first, lay(ranges, range_sizes), range_sizes, rows, crowded) \
         .withColumn("path", F.array("item")).checkpoint()
     ended = []
     for k in range(1, length):
         at = cur.select(F.col("item").alias("g"), "w", "path", draw(seed, F.col("w"), F.lit(k)).alias("draw"))
-        cur = take(at, intervals, sizes, rows, crowded) \
+        cur = take(at, laid, sizes, rows, crowded) \
             .withColumn("path", F.when(F.col("item").isNull(), F.col("path")).otherwise(F.concat("path", F.array("item"))))
         if (crowded or k % keep == 0) and k + 1 < length:
             cur = cur.checkpoint()

@@ -82,7 +82,8 @@ def test_hot_items_are_split_without_changing_a_walk(spark):
     assert plain == split
     intervals = spark.createDataFrame([(0, 1, 2, 2)], "g long, item long, cnt long, hi long")
     walkers = spark.createDataFrame([(0, 1, [0], 5)], "g long, w long, path array<long>, draw long")
-    plan = W.take(walkers, intervals, W.interval_sizes(intervals))._jdf.queryExecution().toString()
+    sizes = W.interval_sizes(intervals)
+    plan = W.take(walkers, W.lay(intervals, sizes), sizes)._jdf.queryExecution().toString()
     assert "Pandas" not in plan and "Python" not in plan
 
 
