@@ -63,13 +63,13 @@ def chunks(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, n
         lo = hi
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word, and number of words of each row."""
+def word_hashes(data: np.ndarray, bounds: np.ndarray, of_word: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word, and number of words of each row; ``of_word`` says which bytes, lowered, words are made of."""
     n_rows = len(bounds) - 1
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(n_rows, np.int64)
     data = _LOWER[data]
-    is_word = _IS_WORD[data]
+    is_word = of_word[data]
     before = np.concatenate([[False], is_word[:-1]])
     after = np.concatenate([is_word[1:], [False]])
     inner = bounds[1:-1][bounds[1:-1] < len(data)]

@@ -273,11 +273,17 @@ def grouped(fps: DataFrame, radius: int = RADIUS, full: int = FULL) -> DataFrame
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each component, all columns as they are."""
+    fps = C.written(fingerprints(docs, shingle), "fingerprints")
+    return one_of_each(docs, fps.join(grouped(fps, radius), "fp"))
+
+
+def one_of_each(docs: DataFrame, tied: DataFrame) -> DataFrame:
     """One row of each component, all columns as they are: that of the least id (a null id comes last),
-    of rows with one id that of the least text hash, and any one of repeated rows."""
+    of rows with one id that of the least text hash, and any one of repeated rows.  ``tied`` has
+    (doc_id, h, component) for each row."""
     h = F.xxhash64(F.coalesce("text", F.lit("")))
-    fps = C.written(fingerprints(docs, shingle), "fingerprints")
-    members = fps.join(grouped(fps, radius), "fp").groupBy("component", "doc_id", "h").agg(F.count("*").alias("rows"))
+    members = tied.groupBy("component", "doc_id", "h").agg(F.count("*").alias("rows"))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", "rows")
     chosen = members.groupBy("component").agg(F.min(first).alias("c")).select("c.doc_id", "c.h", "c.rows")
     chosen = C.written(chosen, "chosen")
