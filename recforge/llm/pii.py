@@ -2,14 +2,16 @@
 
 Places are code points, ends exclusive.  Each kind's matches are leftmost and
 don't overlap; a match that its validator refuses is dropped without another
-try at the same place.  The kinds of ``BASE`` are always reported once valid.
+try at the same place.  Account numbers alone are cut first, to the length that
+their country fixes or, if none is known, to the longest groups that pass; the
+search goes on behind the cut, or at the next group if nothing passes.  The kinds of ``BASE`` are always reported once valid.
 The others are reported if their score reaches ``THRESHOLD`` and they overlap
 no base span: a shape alone scores ``SHAPE``, a confirmed checksum ``CHECKED``, and
 words of the kind's context within ``NEAR`` characters add ``CONTEXT``, words
 that speak against it take it off.
 
 Every expression moves through a text once: none begins inside a run that it
-has already refused.
+has already refused, but for account numbers, whose runs have at most 67 characters.
 
 Nulls: a null text is empty and has no spans.  Repeated rows are searched one
 by one.  Empty table: no rows.
@@ -72,11 +74,42 @@ def emails(text: str) -> list[tuple[int, int]]:
     return spans
 
 
+ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# Letters and digits of an account number, by country.
+LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+
+
+def account_end(match: str) -> int | None:
+    """Where the account number that ``match`` begins with ends: at the end of a group, after its country's length."""
+    ends = [i for i in range(len(match), 14, -1) if i == len(match) or match[i] == " "]
+    length = LENGTHS.get(match[:2])
+    for end in ends:
+        number = match[:end].replace(" ", "")
+        if (len(number) == length if length else len(number) >= 15) and mod97(number):
+            return end
+    return None
+
+
+def accounts(text: str) -> list[tuple[int, int]]:
+    """Spans of account numbers."""
+    spans, at = [], 0
+    while match := ACCOUNT.search(text, at):
+        end = account_end(match[0])
+        if end:
+            spans.append((match.start(), match.start() + end))
+        at = match.start() + (end or 1)
+    return spans
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
     sign: re.Pattern  # a text without it has no match
-    pattern: re.Pattern | None
+    pattern: re.Pattern | Callable[[str], list[tuple[int, int]]]  # or a function that gives the spans
     valid: Callable[[str], bool] = lambda match: True
     checked: bool = True
     words: frozenset[str] = field(default=frozenset())
@@ -85,14 +118,14 @@ class Kind:
     def spans(self, text: str) -> list[tuple[int, int]]:
         if not self.sign.search(text):
             return []
-        if self.pattern is None:
-            return emails(text)
+        if not isinstance(self.pattern, re.Pattern):
+            return self.pattern(text)
         return [m.span() for m in self.pattern.finditer(text) if self.valid(m[0])]
 
 
 _DIGIT = re.compile("[0-9]")
 BASE = (
-    Kind("email", re.compile("@"), None, words=frozenset({"mail", "email", "contact"})),
+    Kind("email", re.compile("@"), emails, words=frozenset({"mail", "email", "contact"})),
     Kind("ip", _DIGIT, re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"),
          lambda m: all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.split(".")),
          words=frozenset({"ip", "address", "host", "server"}), against=frozenset({"version", "section"})),
@@ -103,8 +136,7 @@ BASE = (
          words=frozenset({"phone", "tel", "telephone", "call", "mobile", "fax"})),
 )
 MORE = (
-    Kind("iban", _DIGIT, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"),
-         lambda m: mod97(m.replace(" ", "")), words=frozenset({"iban", "account", "bank", "konto", "compte", "cuenta"})),
+    Kind("iban", _DIGIT, accounts, words=frozenset({"iban", "account", "bank", "konto", "compte", "cuenta"})),
     Kind("ssn", _DIGIT, re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), social, checked=False,
          words=frozenset({"ssn", "social", "security"}), against=frozenset({"order", "part", "isbn", "version"})),
     Kind("local_phone", _DIGIT, re.compile(r"(?<![0-9+().-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9-])"),

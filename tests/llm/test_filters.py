@@ -154,6 +154,17 @@ def test_pii_spans(text):
     base = {k.name for k in pii.BASE}
     assert [s[:3] for s in pii.search(text) if s[0] in base] == plain_pii(text)
 
+@pytest.mark.parametrize("text, numbers", [
+    ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]),
+    ("DE89370400440532013000 EUR 100", ["DE89370400440532013000"]),
+    ("GB82 WEST 1234 5698 7654 32 DE89 3704 0044 0532 0130 00", ["GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00"]),
+    ("REF12 AB12 0000 0000 0000 NO93 8601 1117 947 NOK", ["NO93 8601 1117 947"]),
+    ("MT84 MALT 0110 0001 2345 MTLC AST0 01S", ["MT84 MALT 0110 0001 2345 MTLC AST0 01S"]),
+    ("DE89370400440532013000EUR", []), ("DE89 3704 0044 0532 0130", [])])
+def test_account_numbers_before_other_capitals(text, numbers):
+    assert [text[a:b] for k, a, b, _ in pii.search(text) if k == "iban"] == numbers
+    assert not any(n in pii.masked(text) for n in numbers)
+
 
 def test_pii_on_messy_and_documents(spark, messy, empty):
     for df, texts in ((messy, TEXTS), (spark.read.parquet(f"{SMALL}/documents.parquet"), None)):
