@@ -138,7 +138,7 @@ def verify(words: list[str], diagonals: list[dict], templates: tuple[Template, .
                       if len(places) == need and tuple(words[d:d + n]) == template.words]
             continue
         for group in merged(found):
-            if sum(len(p) for _, p in group) + (template.k - 1) * len(group) < similar * n:
+            if template.k * sum(len(p) for _, p in group) < similar * n:  # a place covers k words at most
                 continue
             pairs = {(d + p + i, p + i) for d, places in group for p in places for i in range(template.k)}
             pairs = {(at, p) for at, p in pairs if words[at] == template.words[p]}

@@ -56,6 +56,18 @@ def test_notices_with_changes(spark):
     assert [s.label for s in found[2].spans] == ["mit"] and 0.8 <= found[2].spans[0].score < 1.0
     assert not found[3].spans and not found[4].spans
 
+def test_notices_with_replaced_words(spark):
+    """A replaced word leaves two runs on one diagonal; the words of both count."""
+    mit = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated " \
+          "documentation files the software to deal in the software without restriction".split()
+    replaced = lambda *places: " ".join("other" if i in places else w for i, w in enumerate(mit))
+    texts = [(1, "licensed under a creative commons attribution 3.0 international license"),
+             (2, "licensed under the Foo License, Version 2.0"), (3, replaced(8, 17)), (4, replaced(6, 13, 20)),
+             (5, replaced(*range(0, 29, 3)))]
+    found = {r.doc_id: [(s.label, s.score) for s in r.spans if not s.base] for r in licenses.scan(frame(spark, texts)).collect()}
+    assert ("cc-by", 0.9) in found[1] and found[2] == [("apache-2.0", 7 / 8)] and not found[5]
+    assert len(mit) == 29 and found[3] == [("mit", 27 / 29)] and found[4] == [("mit", 26 / 29)]
+
 
 def test_op2_on_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
