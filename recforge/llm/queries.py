@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recforge.llm import arrowfile, bpe, classlm, decontam, licenses, pii, quality, repeats, simhash, tokencount
+from recforge.llm import (
+    arrowfile, audit, bpe, classlm, decontam, licenses, pii, quality, repeats, simhash, tokencount)
 from recforge.llm.common import scratch, table
 from recforge.llm.words import tokenizer_path
 
@@ -73,6 +74,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("contaminated").select("doc_id", "items", "coverage")
 
 
+def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_licenses, op3_quality, op4_arrow_ids, op5_pii, op6_class_lm, op7_token_counts, op8_repeats,
-    op9_simhash, op10_decontamination)}
+    op9_simhash, op10_decontamination, op13_audit)}

@@ -1,7 +1,8 @@
 """SQL for the queries that SQL can express, over the whole table.
 
 The quality query's verdict doesn't depend on the order of its rules, so all of
-it is plain arithmetic on words and lines.  The others need a tokenizer, XXH64,
+it is plain arithmetic on words and lines; the audit runs every order of its
+filters on counts by failed filters.  The others need a tokenizer, XXH64,
 a trained model, tiling or checksums, or every 200-byte window; tests hold
 them against brute force.
 """
@@ -37,5 +38,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 100 * n_dup_lines > 30 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words
             OR 2 * n_lettered < n_words) AS kept
 FROM measured
+""",
+    "op13_audit": r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+           + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
+           + 8 * regexp_matches(text, '[#$%&*|]')::INT
+           + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS fails
+    FROM docs LEFT JOIN marks USING (doc_id)
+), counted AS (
+    SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, fails
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+    SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+    FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM orders)
+), figures AS (
+    SELECT part, filter_order, step, own,
+           coalesce(sum(n) FILTER (fails & (before | own) = 0), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (fails & before = 0 AND fails & own > 0), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (fails & before > 0 AND fails & own > 0), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (fails & before = 0 AND fails & own > 0), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (fails & before = 0 AND fails & own > 0), 0)::BIGINT AS toxic_lost
+    FROM counted, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM figures
 """,
 }
