@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recforge.llm import (
-    arrowfile, audit, bpe, classlm, decontam, licenses, pii, quality, repeats, simhash, tokencount)
+    arrowfile, audit, bpe, classlm, decontam, licenses, pii, quality, repeats, simhash, tokencount, trie, warc)
 from recforge.llm.common import scratch, table
 from recforge.llm.words import tokenizer_path
 
@@ -74,10 +74,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("contaminated").select("doc_id", "items", "coverage")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return warc.read_pages(warc.write(pages, scratch(spark, "warc")), pages)
+
+
 def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_licenses, op3_quality, op4_arrow_ids, op5_pii, op6_class_lm, op7_token_counts, op8_repeats,
-    op9_simhash, op10_decontamination, op13_audit)}
+    op9_simhash, op10_decontamination, op11_conversation_trie, op12_warc, op13_audit)}

@@ -1,8 +1,9 @@
 """SQL for the queries that SQL can express, over the whole table.
 
 The quality query's verdict doesn't depend on the order of its rules, so all of
-it is plain arithmetic on words and lines; the audit runs every order of its
-filters on counts by failed filters.  The others need a tokenizer, XXH64,
+it is plain arithmetic on words and lines; the archives' rows follow from payloads
+and page ids; the audit runs every order of its filters on counts by failed
+filters.  The others need a tokenizer, XXH64,
 a trained model, tiling or checksums, or every 200-byte window; tests hold
 them against brute force.
 """
@@ -38,6 +39,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 100 * n_dup_lines > 30 * n_lines OR word_chars < 2 * n_words OR word_chars > 20 * n_words
             OR 2 * n_lettered < n_words) AS kept
 FROM measured
+""",
+    "op12_warc": """
+WITH ranked AS (
+    SELECT page_id, coalesce(html, '') AS h, row_number() OVER same AS n, first_value(page_id) OVER same AS last_id
+    FROM pages WINDOW same AS (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST)
+), judged AS (
+    SELECT *, strlen(h) >= 1000 AND n > 1 AS again FROM ranked
+)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN last_id END AS refers_to
+FROM judged
 """,
     "op13_audit": r"""
 WITH docs AS (
