@@ -43,16 +43,21 @@ N = 200  # bytes of a repeated string
 W = 48  # bytes of a trigger string
 FULL = 64  # entries of one trigger that one task puts in order
 WIDTHS = (16, 4, 1)  # windows of the pieces into which entries of other triggers are cut
-_CHUNK = 1 << 20  # bytes for which hashes are kept at a time
-_SLICE = 1 << 23  # bytes of a longer text that are looked at together
+_CHUNK = 1 << 19  # bytes for which hashes are kept at a time, of one text or several
+_STEP = 1 << 18  # windows that are hashed together, so that tables of powers have one size
 _PLACE = np.uint64((1 << 24) - 1)
 
 
 def byte_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the ``size`` bytes from each place on."""
-    up, down = grams.power_table(len(data) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(grams._BYTE[data] * up[:len(data)], dtype=np.uint64)])
-    return grams.spread((sums[size:] - sums[:-size]) * down[:len(sums) - size])
+    """Hash of the ``size`` bytes from each place on; a window's hash is its own, wherever it stands."""
+    out = np.empty(max(0, len(data) - size + 1), np.uint64)
+    up, down = grams.powers(_STEP + N), grams.powers(_STEP + N, pow(grams._BASE, -1, 1 << 64))
+    for at in range(0, len(out), _STEP):
+        part = data[at:at + _STEP + size - 1]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(grams._BYTE[part] * up[:len(part)], dtype=np.uint64, out=sums[1:])
+        out[at:at + _STEP] = grams.spread((sums[size:] - sums[:-size]) * down[:len(sums) - size])
+    return out
 
 
 def parse(data: np.ndarray, bounds: np.ndarray, n: int = N, w: int = W) -> tuple[np.ndarray, ...]:
@@ -89,9 +94,9 @@ def parsed(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple]:
     while lo < len(bounds) - 1:
         hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + _CHUNK, side="right")) - 1)
         part, ends = data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo]
-        if len(part) > _SLICE:  # one long row, in slices that share what windows look ahead
-            found = [(at, *parse(x, np.array([0, len(x)]))) for at in range(0, len(part) - N + 1, _SLICE)
-                     for x in [part[at:at + _SLICE + N - 1]]]
+        if len(part) > _CHUNK:  # one long row, in slices that share what windows look ahead
+            found = [(at, *parse(x, np.array([0, len(x)]))) for at in range(0, len(part) - N + 1, _CHUNK)
+                     for x in [part[at:at + _CHUNK + N - 1]]]
             starts, lengths, triggers, leads = (np.concatenate(x) for x in zip(*((s + at, *x) for at, s, *x in found)))
         else:
             starts, lengths, triggers, leads = parse(part, ends)
@@ -139,8 +144,8 @@ def entries(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """A row for each wanted phrase (tid, phrases) with its bytes and their 128-bit digest."""
     def run(batches):
         for batch in batches:
-            for tid, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                data = text.as_py().encode()
+            for tid, text, found in zip(*batch.columns):  # a row's phrases at a time
+                tid, data, found = tid.as_py(), text.as_py().encode(), found.as_py()
                 raw = [data[p["start"]:p["start"] + p["n"] - 1 + N] for p in found]
                 digest = [hashlib.blake2b(r, digest_size=16).digest() for r in raw]
                 yield pa.RecordBatch.from_arrays(
@@ -223,6 +228,18 @@ def marked_in_order(dictionary: DataFrame) -> DataFrame:
             yield from solve(left)
 
     def solve(table):
+        """Whole triggers, in bounded numbers of bytes."""
+        trigger, size = table["trigger"].to_numpy(), np.cumsum(table["n"].to_numpy() + N, dtype=np.int64)
+        lo = 0
+        while lo < len(trigger):
+            hi = len(trigger)
+            if size[-1] > size[lo] + _CHUNK:
+                past = trigger[int(np.searchsorted(size, size[lo] + _CHUNK))]
+                hi = int(np.searchsorted(trigger, past)) if past != trigger[lo] else int(np.searchsorted(trigger, past, side="right"))
+            yield from solve_together(table.slice(lo, hi - lo))
+            lo = hi
+
+    def solve_together(table):
         marks = repeated(table["raw"].to_pylist(), table["n"].to_numpy(), table["count"].to_numpy())
         keep = [i for i, m in enumerate(marks) if m]
         if keep:
@@ -317,8 +334,8 @@ def cut_texts(texts: DataFrame, marks: DataFrame) -> DataFrame:
     """(tid, n_removed, n_spans, kept_sha256) of the texts with marks."""
     def run(tid, text, spans):
         out = {k: [] for k in _CUT.names}
-        for t, x, s in zip(tid.to_pylist(), text, spans.to_pylist()):
-            data, removed = x.as_py().encode(), union_of([(r["a"], r["b"]) for r in s])
+        for t, x, s in zip(tid.to_pylist(), text, spans):
+            data, removed = x.as_py().encode(), union_of([(r["a"], r["b"]) for r in s.as_py()])
             kept, at = hashlib.sha256(), 0
             for a, b in removed:
                 kept.update(data[at:a])
