@@ -81,11 +81,12 @@ def top_k_by_score(scored: DataFrame, key: str, item: str, score: str, k: int) -
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def next_item_candidates(ratings: DataFrame, pairs: DataFrame, per_item: int = 10) -> DataFrame:
-    """(userId, productId) worth scoring: the items that most often follow one the user rated, without
-    those already rated.  At most ``per_item`` a rated pair, so it grows with the ratings and not with users x items."""
+def next_item_candidates(ratings: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(userId, productId) worth scoring: every item that ever follows one the user rated, without those already rated.
+
+    The best of the whole catalogue are found by ``catalogue.catalogue_top_k``."""
     rated = ratings.select("userId", "productId").distinct()
-    follow = top_k_by_score(pairs, "src", "dst", "cnt", per_item).select(F.col("src").alias("productId"), "dst")
+    follow = pairs.select(F.col("src").alias("productId"), "dst").distinct()
     found = rated.join(follow, "productId").select("userId", F.col("dst").alias("productId")).distinct()
     return found.join(rated, ["userId", "productId"], "left_anti")
 

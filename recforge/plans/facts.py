@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from recforge.functions.vectors import dot, sq_euclidean
 from recforge.operators import als as AL
+from recforge.operators import cooccurrence as CO
 from recforge.operators import ctr as CTR
 from recforge.operators import embeddings as E
 from recforge.operators import encoders as ENC
 from recforge.operators import item2vec as I2V
+from recforge.operators import ivf as IVF
 from recforge.operators import products as P
 from recforge.operators import sequences as Q
 from recforge.operators import splits as SP
@@ -73,6 +75,20 @@ def als_facts(spark: SparkSession, sf: str, key: str) -> DataFrame:
     return listed(*_rank_rules(recs, key), wrong, unknown)
 
 
+def als_catalogue_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """The search by norms finds, for every user and every item, what scoring all pairs of factors finds."""
+    model, _, _ = _als(spark, sf)
+    parts = []
+    for key, name, all_pairs in (("userIdInt", "user", model.recommendForAllUsers(AL.TOP_K)),
+                                 ("productIdInt", "item", model.recommendForAllItems(AL.TOP_K))):
+        other = "productIdInt" if key == "userIdInt" else "userIdInt"
+        plain = AL.explode_recs(all_pairs, key, other).select(key, "rank", F.col("rating").alias("_rating"))
+        both = AL.catalogue_recs(model, key).join(plain, [key, "rank"], "full")
+        parts.append(both.agg(F.countDistinct(key).alias(f"{name}_keys"), F.count("rating").alias(f"{name}_rows"), F.count_if(
+            F.coalesce(F.abs(F.col("rating") - F.col("_rating")) > 1e-4, F.lit(True))).alias(f"{name}_not_the_best")))
+    return listed(*parts)
+
+
 def als_rmse_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Scored test rows, and those whose prediction isn't the dot product of the factors."""
     model, _, test = _als(spark, sf)
@@ -109,6 +125,30 @@ def graph_embedding_facts(spark: SparkSession, sf: str) -> DataFrame:
     return listed(_vector_rules(I2V.embeddings_from_model(I2V.graph_embedding(walks))))
 
 
+def cooccurrence_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors from co-occurrence: one for each item with an association."""
+    return listed(_vector_rules(CO.item_vectors(CO.window_counts(fx.ratings(spark, sf), ORDER))))
+
+
+def walk_vector_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors from co-occurrence on random walks: one for each item walked over that has a neighbour there."""
+    walks = W.random_walks(spark, Q.pair_counts(fx.ratings(spark, sf), ORDER))
+    return listed(_vector_rules(CO.item_vectors(CO.sentence_counts(walks))))
+
+
+def ivf_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every vector is indexed once; the neighbours of all at once have their true scores, and recall is 0.9 or more."""
+    vectors = fx.vectors(spark, sf)
+    index = IVF.build(vectors)
+    found = IVF.neighbours(index, vectors, E.SIMILAR_K).checkpoint()
+    exact = IVF.exact_neighbours(vectors, vectors, E.SIMILAR_K).checkpoint()
+    indexed = index.rows.select(F.explode("ids").alias("id")).agg(F.count(F.lit(1)).alias("indexed"), F.countDistinct("id").alias("distinct_ids"))
+    rows = found.agg(F.countDistinct("query").alias("queries"), F.count(F.lit(1)).alias("rows_out"))
+    wrong = found.join(exact.withColumnRenamed("score", "_score"), ["query", "id"]).agg(
+        F.count_if(F.abs(F.col("score") - F.col("_score")) > 1e-6).alias("wrong_scores"))
+    return listed(indexed, rows, wrong, IVF.recall(found, exact).select((F.col("recall") < 0.9).cast("int").alias("recall_below_90_percent")))
+
+
 def embedding_chain_facts(spark: SparkSession, sf: str) -> DataFrame:
     """From ratings to item vectors, to each query item's nearest neighbours and to user vectors."""
     vectors = I2V.embeddings_from_model(_item2vec(spark, sf)).select(F.col("productId").cast("long").alias("productId"), "emb")

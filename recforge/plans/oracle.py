@@ -181,6 +181,20 @@ ue AS (SELECT userId, dim, sum(CAST(v AS DOUBLE) * n) AS value FROM ud GROUP BY
 uemb AS (SELECT userId, list(value ORDER BY dim) AS emb FROM ue GROUP BY userId)"""
 
 
+def _near(item: str, table: str, key: str, place: str) -> str:
+    """Pairs of items at most five places apart in a sequence, in both directions."""
+    return f"""win AS (SELECT x.{item} AS a, y.{item} AS b FROM {table} x JOIN {table} y ON x.{key} = y.{key} AND y.{place} - x.{place} BETWEEN 1 AND 5),
+near AS (SELECT a, b, count(*) AS n FROM (SELECT a, b FROM win UNION ALL SELECT b, a FROM win) GROUP BY a, b)"""
+
+
+NEAR = _near("productId", "pos", "userId", "p")
+
+ASSOCIATIONS = """own AS (SELECT a, sum(n) AS na FROM near GROUP BY a),
+associated AS (SELECT * FROM (
+  SELECT n.a, n.b, ln(n.n * (SELECT CAST(sum(n) AS DOUBLE) FROM near) / (CAST(x.na AS DOUBLE) * CAST(y.na AS DOUBLE))) AS w
+  FROM near n JOIN own x ON x.a = n.a JOIN own y ON y.a = n.b) WHERE w > 0)"""
+
+
 def embedding_sql() -> dict[str, str]:
     return {
         "ratings_with_vectors": with_views(RATINGS) + """SELECT r.*, CAST(len(e.embedding) AS INTEGER) AS dims,
@@ -200,15 +214,26 @@ def embedding_sql() -> dict[str, str]:
             JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId),
             rk AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, productId) AS rank FROM sc)
             SELECT userId, productId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""",
-        "two_tower_new_items": with_views(RATINGS, POSITIVE_SEQ, PAIRS, USER_EMB) + f""", fo AS (
-            SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY cnt DESC, dst) AS k FROM pairs) WHERE k <= 10),
+        "two_tower_new_items": with_views(RATINGS, POSITIVE_SEQ, PAIRS, USER_EMB) + f""",
             rated AS (SELECT DISTINCT userId, productId FROM ratings),
-            cand AS (SELECT DISTINCT userId, dst AS productId FROM rated JOIN fo ON src = productId
+            cand AS (SELECT DISTINCT userId, dst AS productId FROM rated JOIN pairs ON src = productId
                      EXCEPT SELECT userId, productId FROM rated),
             sc AS (SELECT p.userId, p.productId, {_dot('u.emb', 'e.embedding')} AS score
             FROM cand p JOIN uemb u USING (userId) JOIN embeddings e ON e.vec_id = p.productId),
             rk AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, productId) AS rank FROM sc)
             SELECT userId, productId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""",
+        "catalogue_top_items": with_views(RATINGS, USER_EMB) + f""", sc AS (
+            SELECT u.userId, e.vec_id AS productId, {_dot('u.emb', 'e.embedding')} AS score FROM uemb u, embeddings e
+            WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.userId = u.userId AND r.productId = e.vec_id)),
+            rk AS (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY score DESC, productId) AS rank FROM sc)
+            SELECT userId, productId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10""",
+        "exact_neighbours": f"""WITH unit AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) / sqrt({_dot('embedding', 'embedding')})) AS v FROM embeddings),
+            s AS (SELECT a.vec_id AS query, b.vec_id AS id, {_dot('a.v', 'b.v')} AS score FROM unit a JOIN unit b ON a.vec_id <> b.vec_id),
+            rk AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, id) AS rank FROM s)
+            SELECT query, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 20""",
+        "window_counts": with_views(RATINGS, POSITIVE_SEQ, NEAR) + "SELECT a, b, n FROM near",
+        "associations": with_views(RATINGS, POSITIVE_SEQ, NEAR, ASSOCIATIONS) + "SELECT a, b, round(w, 6) AS w FROM associated",
         "fm_interaction": with_views(RATINGS, USER_EMB) + f""", f AS (
             SELECT p.userId, p.productId, u.emb AS a, e.embedding AS b
             FROM (SELECT DISTINCT userId, productId FROM ratings) p
@@ -385,6 +410,10 @@ def fact_sql() -> dict[str, str]:
     return {
         "als_user_facts": als("userId", "productId"),
         "als_item_facts": als("productId", "userId"),
+        "als_catalogue_facts": split + _facts(
+            user_keys="SELECT count(DISTINCT userId) FROM t", item_keys="SELECT count(DISTINCT productId) FROM t",
+            user_rows="SELECT count(DISTINCT userId) * least(10, count(DISTINCT productId)) FROM t",
+            item_rows="SELECT count(DISTINCT productId) * least(10, count(DISTINCT userId)) FROM t", user_not_the_best="0", item_not_the_best="0"),
         "als_rmse_facts": split + _facts(
             scored="SELECT count(*) FROM s WHERE NOT train AND userId IN (SELECT userId FROM t) AND productId IN (SELECT productId FROM t)",
             not_the_dot_product="0"),
@@ -397,6 +426,13 @@ def fact_sql() -> dict[str, str]:
             neighbours="SELECT least(5, count(*)) FROM vocab", negative_distances="0", at_the_query="1"),
         "similar_items_facts": seq + _facts(rows_out="SELECT least(20, count(*) - 1) FROM vocab", words="SELECT least(20, count(*) - 1) FROM vocab",
                                             no_cosine="0"),
+        "cooccurrence_facts": with_views(RATINGS, POSITIVE_SEQ, NEAR, ASSOCIATIONS) + _facts(
+            vectors="SELECT count(DISTINCT a) FROM associated", wrong_sizes="0", not_finite="0"),
+        "walk_vector_facts": walks + ", " + _near("item", "walk", "w", "step") + ",\n" + ASSOCIATIONS + "\n" + _facts(
+            vectors="SELECT count(DISTINCT a) FROM associated", wrong_sizes="0", not_finite="0"),
+        "ivf_facts": _facts(
+            indexed="SELECT count(*) FROM embeddings", distinct_ids="SELECT count(*) FROM embeddings", queries="SELECT count(*) FROM embeddings",
+            rows_out="SELECT count(*) * least(20, count(*) - 1) FROM embeddings", wrong_scores="0", recall_below_90_percent="0"),
         "lsh_facts": _facts(hashed="SELECT count(*) FROM embeddings", wrong_tables="0", finds_itself="1", too_many="0", wrong_distances="0"),
         "bucket_facts": stats + _facts(products="SELECT count(*) FROM p", out_of_bounds="0",
                                        at_bounds="SELECT count(*) FROM p WHERE m = (SELECT min(m) FROM p) OR m = (SELECT max(m) FROM p)", overlaps="0"),

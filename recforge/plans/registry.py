@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from recforge.functions import scalar as SF
 from recforge.functions import vectors as V
+from recforge.operators import catalogue as CAT
+from recforge.operators import cooccurrence as CO
 from recforge.operators import embeddings as E
 from recforge.operators import encoders as ENC
 from recforge.operators import labels as L
@@ -20,6 +22,7 @@ from recforge.operators import walks as W
 from recforge.operators import als as AL
 from recforge.operators import ctr as CTR
 from recforge.operators import item2vec as I2V
+from recforge.operators import ivf as IVF
 from pyspark.ml.functions import vector_to_array
 
 from recforge.plans import facts, oracle
@@ -128,6 +131,11 @@ def _similar(spark, sf):
     return I2V.similar_items(model, top).select("word", F.round("similarity", 4).alias("similarity"))
 
 
+def _ivf(spark, sf):
+    vectors = fx.vectors(spark, sf)
+    return IVF.neighbours(IVF.build(vectors), vectors, E.SIMILAR_K)
+
+
 def _lsh_buckets(spark, sf):
     model, vec = I2V.lsh_model(fx.item_vectors(spark, sf))
     out = model.transform(vec)
@@ -224,6 +232,14 @@ QUERIES: dict[str, Query] = {
     "two_tower_new_items": lambda s, sf: E.two_tower_scores(
         E.next_item_candidates(_r(s, sf), Q.pair_counts(_r(s, sf), ORDER)), _user_emb(s, sf), fx.item_vectors(s, sf), 10).select(
         "userId", "productId", _round("score"), "rank"),
+    "catalogue_top_items": lambda s, sf: CAT.catalogue_top_k(
+        _user_emb(s, sf), fx.item_vectors(s, sf), 10, _r(s, sf).select("userId", "productId")).select(
+        "userId", "productId", _round("score"), "rank"),
+    "exact_neighbours": lambda s, sf: IVF.exact_neighbours(fx.vectors(s, sf), fx.vectors(s, sf), E.SIMILAR_K).select(
+        "query", "id", _round("score"), "rank"),
+    "ivf_neighbours": lambda s, sf: _ivf(s, sf).select("query", "id", _round("score"), "rank"),
+    "window_counts": lambda s, sf: CO.window_counts(_r(s, sf), ORDER),
+    "associations": lambda s, sf: CO.associations(CO.window_counts(_r(s, sf), ORDER)).select("a", "b", _round("w")),
     "fm_interaction": lambda s, sf: _distinct_pairs_with_fields(s, sf).select(
         "userId", "productId",
         F.round(F.aggregate(E.fm_interaction([F.col("a"), F.col("b")]), F.lit(0.0), lambda acc, x: acc + x), 4).alias("fm")),
@@ -287,6 +303,7 @@ QUERIES: dict[str, Query] = {
     "item2vec": lambda s, sf: _emb_out(I2V.embeddings_from_model(_i2v(s, sf))),
     "graph_embedding": lambda s, sf: _emb_out(I2V.embeddings_from_model(I2V.graph_embedding(
         W.random_walks(s, Q.pair_counts(_r(s, sf), ORDER))))),
+    "cooccurrence_vectors": lambda s, sf: _emb_out(CO.item_vectors(CO.window_counts(_r(s, sf), ORDER))),
     "similar_items": _similar,
     "lsh_buckets": _lsh_buckets,
     "lsh_neighbours": _lsh_neighbours,
@@ -298,12 +315,16 @@ QUERIES: dict[str, Query] = {
     # what must hold of the models above
     "als_user_facts": lambda s, sf: facts.als_facts(s, sf, "userIdInt"),
     "als_item_facts": lambda s, sf: facts.als_facts(s, sf, "productIdInt"),
+    "als_catalogue_facts": facts.als_catalogue_facts,
     "als_rmse_facts": facts.als_rmse_facts,
     "als_cv_facts": facts.als_cv_facts,
     "item2vec_facts": facts.item2vec_facts,
     "graph_embedding_facts": facts.graph_embedding_facts,
     "embedding_chain_facts": facts.embedding_chain_facts,
     "similar_items_facts": lambda s, sf: facts.similar_items_facts(s, sf, _similar(s, sf)),
+    "cooccurrence_facts": facts.cooccurrence_facts,
+    "walk_vector_facts": facts.walk_vector_facts,
+    "ivf_facts": facts.ivf_facts,
     "lsh_facts": facts.lsh_facts,
     "bucket_facts": facts.bucket_facts,
     "time_split_facts": facts.time_split_facts,
