@@ -8,11 +8,12 @@ marks them, cutting what remains of overlapping ones, until none of k words is
 left.  An item is found in a document if the marked share of the item's words
 reaches ``coverage``; the order of the passages doesn't matter.
 
-Equal hashes of 64 bits are taken for equal words.  Items of fewer than k words
-have no seed and are never found.
+Equal hashes of 64 bits are taken for equal words.  An item of fewer than k words is
+sought by seeds of its own length, whole; an item without words is never found.
 
 Nulls: a null text is empty; null ids are ordinary values.  Repeated rows each
-get their row.  Empty tables: no item is found.
+get their row.  Very long texts are hashed whole; their seeds with an item are one row.  Empty
+tables: no item is found.
 """
 
 from __future__ import annotations
@@ -90,7 +91,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, k: int = K) -> DataFrame:
     """(doc_id, h, item_id, coverage, tiles) of the pairs with a seed; h is the hash of the document's text."""
     keyed = C.texts(docs).select("doc_id", F.xxhash64("text").alias("h"), "text")
     items = C.texts(benchmark, "item_id").select("doc_id", F.xxhash64("text").alias("h"), "text").distinct()
-    seeds = hashed(items, k).select(F.col("id").alias("item_id"), F.col("h").alias("item_h"), F.col("n_words").alias("item_words"),
+    sizes = hashed(items, 1).select(F.least("n_words", F.lit(k)).alias("size")).distinct().collect()  # k + 1 at most
+    found = [matches_of_size(keyed, items, size, k) for size in sorted({r["size"] for r in sizes} - {0}) or [k]]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def matches_of_size(keyed: DataFrame, items: DataFrame, k: int, full: int) -> DataFrame:
+    """The matches of the items of k words, or, for the full seed length, of k words or more."""
+    own = F.col("n_words") >= k if k == full else F.col("n_words") == k
+    seeds = hashed(items, k).where(own).select(F.col("id").alias("item_id"), F.col("h").alias("item_h"), F.col("n_words").alias("item_words"),
                                     F.posexplode("grams").alias("item_pos", "gram"))
     seeds = C.written(seeds, "seeds")
     if seeds.count() * 64 <= SMALL:

@@ -299,9 +299,18 @@ def test_leaks(spark, empty):
     assert nothing.where("contaminated").count() == 0 and nothing.count() == len(texts)
 
 
+def test_short_items(spark):
+    """Items under five words are found whole, at any length, and not in parts."""
+    texts = [(1, "x Few, words y"), (2, "few other words"), (3, "answer"), (4, "the answer is forty two."), (5, "answer is forty"), (6, None)]
+    items = bench(spark, [(71, "few words"), (72, "ANSWER"), (73, "answer is forty two"), (74, "..."), (75, "a b c d e")])
+    got = {r.doc_id: tuple(r["items"]) for r in decontam.decontaminate(frame(spark, texts), items).collect()}
+    assert got == {1: (71,), 2: (), 3: (72,), 4: (72, 73), 5: (72,), 6: ()}
+
+
 def test_op10_on_documents(spark):
     items = [(r.item_id, grams.words_of(r.text)) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     got = {r.doc_id: tuple(r["items"]) for r in queries.op10_decontamination(spark, SMALL).collect()}
+    assert len(got) == len(documents(spark))
     for i, text in documents(spark):
         words = grams.words_of(text)
         five = {tuple(words[k:k + 5]) for k in range(len(words) - 4)}
