@@ -169,18 +169,6 @@ def numeric_sample_features(samples: DataFrame) -> DataFrame:
     return out
 
 
-def assemble(samples: DataFrame, out: str = "features", cross: bool = True) -> DataFrame:
-    """The seven numeric columns plus the productId x userRatedproduct1
-    cross (one-hot, 10000 wide) into one vector."""
-    num = numeric_sample_features(samples)
-    cols = list(NUMERIC_FEATURES)
-    if cross:
-        num = num.withColumn("_crossIdx", crossed(F.col("productId"), F.col("userRatedproduct1")))
-        num = cross_encoder().transform(num)
-        cols.append("_cross")
-    return VectorAssembler(inputCols=cols, outputCol=out).transform(num).drop("_cross", "_crossIdx")
-
-
 def cross_encoder():
     """Sparse one-hot of the cross bucket with a fixed width of CROSS_BUCKETS
     (fitted on a one-row frame holding the top bucket, so the width never

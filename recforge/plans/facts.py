@@ -16,6 +16,7 @@ from recforge.operators import cooccurrence as CO
 from recforge.operators import ctr as CTR
 from recforge.operators import embeddings as E
 from recforge.operators import encoders as ENC
+from recforge.operators import fields as FL
 from recforge.operators import item2vec as I2V
 from recforge.operators import ivf as IVF
 from recforge.operators import products as P
@@ -27,6 +28,7 @@ from recforge.sources import fixtures as fx
 
 ORDER = list(fx.RATING_ORDER)
 NEIGHBOURS = 5
+DEGENERATE = 1.05  # times the log loss of the label's share; labels are unrelated to the features here
 
 
 def listed(*parts: DataFrame) -> DataFrame:
@@ -207,9 +209,10 @@ def ctr_facts(spark: SparkSession, sf: str, split) -> DataFrame:
     rate = train.agg(F.avg("label")).first()[0]
     constant = CTR.logloss_accuracy(test.withColumn("p", F.lit(rate))).first().logloss
     parts = []
-    for name, fit in (("fm", CTR.ctr_fm), ("mlp", CTR.ctr_mlp), ("linear", CTR.ctr_linear)):
-        scored = CTR.predict(fit(train), test).checkpoint()
-        loss = CTR.logloss_accuracy(scored).select(F.col("n").alias(f"{name}_scored"), (F.col("logloss") > 1.5 * constant).cast("int").alias(f"{name}_is_degenerate"))
+    vocab = FL.frequent_types(train)
+    for name, fit in CTR.MODELS.items():
+        scored = CTR.predict(fit(train, vocab), test).checkpoint()
+        loss = CTR.logloss_accuracy(scored).select(F.col("n").alias(f"{name}_scored"), (F.col("logloss") > DEGENERATE * constant).cast("int").alias(f"{name}_is_degenerate"))
         parts += [loss, scored.agg(F.count_if(~F.col("p").between(0.0, 1.0)).alias(f"{name}_no_probability"),
                                    (F.countDistinct("p") < 2).cast("int").alias(f"{name}_is_constant"))]
     return listed(*parts)

@@ -405,7 +405,7 @@ def fact_sql() -> dict[str, str]:
                               subset_keys=f"SELECT least(3, count(DISTINCT {key})) FROM t", unknown_ids="0")
 
     ctr = {}
-    for m in ("fm", "mlp", "linear"):
+    for m in ("fm", "mlp", "linear", "trees", "leaves"):
         ctr |= {f"{m}_scored": test, f"{m}_is_degenerate": "0", f"{m}_no_probability": "0", f"{m}_is_constant": "0"}
     return {
         "als_user_facts": als("userId", "productId"),
@@ -450,6 +450,30 @@ def baseline_rmse_sql() -> str:
         FROM s JOIN m USING (productId) WHERE split = 'test'"""
 
 
+def baseline_auc_sql() -> str:
+    return baseline_logloss_sql().rsplit("SELECT round(avg(", 1)[0] + """, g AS (
+        SELECT p, sum(label) AS pos, count(*) AS n FROM t GROUP BY p),
+        c AS (SELECT *, sum(pos) OVER above AS tp, sum(n) OVER above AS seen, (SELECT sum(pos) FROM g) AS np, (SELECT sum(n - pos) FROM g) AS nn
+              FROM g WINDOW above AS (ORDER BY p DESC)),
+        d AS (SELECT *, CAST(tp AS DOUBLE) / seen AS precision,
+                     CASE WHEN seen > n THEN CAST(tp - pos AS DOUBLE) / (seen - n) ELSE CAST(tp AS DOUBLE) / seen END AS last FROM c)
+        SELECT round(sum((n - pos) * (tp - pos + CAST(pos AS DOUBLE) / 2)) / (any_value(np) * any_value(nn)), 6) AS auc_roc,
+               round(sum(pos * (precision + last) / 2) / any_value(np), 6) AS auc_pr FROM d"""
+
+
+def field_slots_sql(words=("ECONOMY", "PROMO", "STANDARD", "blue", "gear", "red"), products: int = 1001, users: int = 30001) -> str:
+    types = [f"productType{i}" for i in (1, 2, 3)] + [f"userType{i}" for i in (1, 2, 3, 4, 5)]
+    listed, width = "[" + ", ".join(f"'{w}'" for w in words) + "]", len(words) + 1
+    slots = [f"CASE WHEN productId BETWEEN 0 AND {products - 1} THEN 7 + productId END",
+             f"CASE WHEN userId BETWEEN 0 AND {users - 1} THEN {7 + products} + userId END"]
+    for j, t in enumerate(types):
+        place = f"CASE WHEN list_contains({listed}, {t}) THEN list_position({listed}, {t}) - 1 ELSE {width - 1} END"
+        slots.append(f"{7 + products + users + j * width} + {place}")
+    each = ", ".join(f"CAST({x} AS VARCHAR)" for x in slots)
+    full = 7 + products + users + len(types) * width + 10000
+    return f"""SELECT userId, productId, "timestamp", {full} AS width, concat_ws(',', {each}) AS slots FROM ({training_samples_sql()})"""
+
+
 def baseline_logloss_sql() -> str:
     part = below(1, 0.8, "userId", "productId", '"timestamp"')
     return with_views(*SAMPLE_BASE, sample_windows()) + f""", s0 AS (

@@ -14,6 +14,7 @@ from recforge.operators import catalogue as CAT
 from recforge.operators import cooccurrence as CO
 from recforge.operators import embeddings as E
 from recforge.operators import encoders as ENC
+from recforge.operators import fields as FL
 from recforge.operators import labels as L
 from recforge.operators import products as P
 from recforge.operators import sequences as Q
@@ -166,8 +167,16 @@ def _sample_job(spark, sf):
 
 def _ctr(spark, sf, kind):
     train, test = _sample_split(spark, sf)
-    fit = {"fm": CTR.ctr_fm, "mlp": CTR.ctr_mlp, "linear": CTR.ctr_linear}[kind]
-    return CTR.binary_metrics(spark, CTR.predict(fit(train), test).checkpoint(), kind)
+    fitted = CTR.MODELS[kind](train, FL.frequent_types(train))
+    return CTR.binary_metrics(spark, CTR.predict(fitted, test).checkpoint(), kind)
+
+
+def _field_slots(spark, sf):
+    """The slots that each sample's ids and types set, of one vector with the numbers and the cross around them."""
+    layout = [*FL.id_fields(), *FL.type_fields(FIXTURE_WORDS)]
+    rows = FL.assemble(_samples(spark, sf), layout)
+    own = F.filter(ENC.sparse_indices(F.col("features")), lambda i: (i >= 7) & (i < FL.offsets(layout, 7)[""]))
+    return rows.select(*KEY, ENC.vector_size(F.col("features")).alias("width"), F.array_join(own, ",").alias("slots"))
 
 
 def _als_rmse(spark, sf):
@@ -177,7 +186,7 @@ def _als_rmse(spark, sf):
 
 def _preview(spark, sf):
     train, test = _sample_split(spark, sf)
-    return CTR.score_preview(CTR.predict(CTR.ctr_linear(train), test), ["userId", "timestamp", "productId"])
+    return CTR.score_preview(CTR.predict(CTR.ctr_linear(train, FL.frequent_types(train)), test), ["userId", "timestamp", "productId"])
 
 
 def _baseline_logloss(spark, sf):
@@ -187,6 +196,13 @@ def _baseline_logloss(spark, sf):
     return out.select(F.round("logloss", 6).alias("logloss"), F.round("accuracy", 6).alias("accuracy"), "n")
 
 
+def _baseline_auc(spark, sf):
+    """Areas under the curves of the products' own rates of positive labels, scores with many ties."""
+    train, test = _sample_split(spark, sf)
+    rate = train.groupBy("productId").agg(F.avg("label").alias("p"))
+    return CTR.exact_auc(test.join(rate, "productId")).select(_round("auc_roc"), _round("auc_pr"))
+
+
 def _one_hot(spark, sf):
     enc = ENC.one_hot(fx.products(spark, sf), "productId", "v")
     return enc.select("productId", ENC.vector_size(F.col("v")).alias("size"),
@@ -310,7 +326,11 @@ QUERIES: dict[str, Query] = {
     "ctr_fm_metrics": lambda s, sf: _ctr(s, sf, "fm"),
     "ctr_mlp_metrics": lambda s, sf: _ctr(s, sf, "mlp"),
     "ctr_linear_metrics": lambda s, sf: _ctr(s, sf, "linear"),
+    "ctr_trees_metrics": lambda s, sf: _ctr(s, sf, "trees"),
+    "ctr_leaves_metrics": lambda s, sf: _ctr(s, sf, "leaves"),
     "ctr_score_preview": _preview,
+    "baseline_auc": _baseline_auc,
+    "field_slots": _field_slots,
     "baseline_logloss": _baseline_logloss,
     # what must hold of the models above
     "als_user_facts": lambda s, sf: facts.als_facts(s, sf, "userIdInt"),
@@ -334,6 +354,8 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "baseline_rmse": oracle.baseline_rmse_sql(),
     "baseline_logloss": oracle.baseline_logloss_sql(),
+    "baseline_auc": oracle.baseline_auc_sql(),
+    "field_slots": oracle.field_slots_sql(),
     "training_samples": oracle.training_samples_sql(),
     "minimum_slice": oracle.minimum_slice_sql(),
     **oracle.basic_sql(),
