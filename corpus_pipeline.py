@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recforge.llm import bpe, decontam, jaccard, pii, quality
+from recforge.llm import bpe, decontam, pii, quality, simhash
 from recforge.llm.common import table, written
 from recforge.llm.words import tokenizer_path
 
@@ -19,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles with a similarity of 0.8 or more."""
-    return jaccard.keep_one(docs)
+    """One document of each group whose fingerprints of three-word shingles are linked at two differing bits or fewer."""
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ STAGES = [
     ("encoding", encoding),
 ]
 
-# Shingles, tiling and encoding have no SQL; tests hold the rows against brute force.
+# Fingerprints, tiling and encoding have no SQL; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
