@@ -9,9 +9,8 @@ from recforge.llm import decontam, grams, words
 from recforge.llm.common import written
 
 from .conftest import TEXTS, frame
-from .test_corpus import plain_tiles
+from .test_corpus import plain_components, plain_fingerprint, plain_tiles
 from .test_filters import plain_measures, plain_pii
-from .test_jaccard import plain_kept
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -58,7 +57,8 @@ def test_stages(spark):
         if name == "quality_rules":
             assert ids == {i for i, t in texts if plain_quality(t)}
         elif name == "near_duplicates":
-            assert sorted(r.doc_id for r in after) == sorted(plain_kept(texts))
+            parts = plain_components([plain_fingerprint(t) for _, t in texts], [i for i, _ in texts])
+            assert ids == set(parts) and len(after) == len(ids)
         elif name == "decontamination":
             assert ids == {i for i, t in texts if not plain_leak(t, items)} and len(ids) < len(texts)
         elif name == "personal_data":
