@@ -461,6 +461,23 @@ def baseline_auc_sql() -> str:
                round(sum(pos * (precision + last) / 2) / any_value(np), 6) AS auc_pr FROM d"""
 
 
+def sample_file_sql() -> dict[str, str]:
+    kind = draw(9, "userId", "productId", '"timestamp"') + " % 20"
+    rows = f"WITH x AS (SELECT *, {kind} AS kind FROM ({training_samples_sql()}))\n"
+    kept = f"""s AS (SELECT * FROM ({training_samples_sql()}) WHERE {below(0, 0.1, 'userId', 'productId', '"timestamp"')}),
+        counted AS (SELECT "timestamp" AS t, sum(count(*)) OVER (ORDER BY "timestamp") AS hi FROM s GROUP BY "timestamp")"""
+    return {
+        "samples_read": rows + """SELECT userId, productId, "timestamp", label, CASE WHEN kind = 3 THEN 0 ELSE releaseYear END AS releaseYear,
+            round(CAST(replace(productAvgRating, ',', '') AS DOUBLE), 6) AS productAvgRating, coalesce(userType5, '') AS userType5
+            FROM x WHERE kind NOT IN (0, 1, 2)""",
+        "samples_skipped": rows + """SELECT count(*) AS rows, count(*) FILTER (kind IN (0, 1)) AS wrong_fields,
+            count(*) FILTER (kind = 2) AS unreadable, count(*) FILTER (kind NOT IN (0, 1, 2)) AS kept FROM x""",
+        "save_by_time": f"""WITH {kept}
+            SELECT userId, productId, "timestamp", label, CASE WHEN "timestamp" <= (
+                SELECT min(t) FROM counted WHERE hi >= 0.8 * (SELECT count(*) FROM s)) THEN 'train' ELSE 'test' END AS split FROM s""",
+    }
+
+
 def field_slots_sql(words=("ECONOMY", "PROMO", "STANDARD", "blue", "gear", "red"), products: int = 1001, users: int = 30001) -> str:
     types = [f"productType{i}" for i in (1, 2, 3)] + [f"userType{i}" for i in (1, 2, 3, 4, 5)]
     listed, width = "[" + ", ".join(f"'{w}'" for w in words) + "]", len(words) + 1

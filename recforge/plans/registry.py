@@ -26,6 +26,7 @@ from recforge.operators import item2vec as I2V
 from recforge.operators import ivf as IVF
 from pyspark.ml.functions import vector_to_array
 
+from recforge.functions.hashing import draw
 from recforge.plans import facts, oracle
 from recforge.plans.samples import minimum_slice, save_train_test, training_samples
 from recforge.session import ensure_checkpoint_dir
@@ -165,6 +166,27 @@ def _sample_job(spark, sf):
                                                  _round("productAvgRating"), _round("userRatingStddev"))
 
 
+def _save_by_time(spark, sf):
+    """The sample job split by time: what the files of both parts hold."""
+    path = f"{ensure_checkpoint_dir(spark)}/by-time-{uuid.uuid4().hex}"
+    parts = [IO.read_samples(spark, to).withColumn("split", F.lit(part))
+             for part, to in save_train_test(_samples(spark, sf), path, by_time=True, exact=True).items()]
+    return parts[0].unionByName(parts[1]).select(*KEY, "label", "split")
+
+
+def _damaged_samples(spark, sf):
+    """Samples written as text lines of which a draw makes some short, long or unreadable, and some empty in a field."""
+    path = f"{ensure_checkpoint_dir(spark)}/damaged-{uuid.uuid4().hex}"
+    kind = F.pmod(draw(9, *(F.col(k) for k in KEY)), F.lit(20))
+    fields = {f.name: F.col(f.name).cast("string") for f in IO.SAMPLE_SCHEMA.fields}
+    fields["productAvgRating"] = F.when(kind == 2, "oops").otherwise(fields["productAvgRating"])
+    fields["releaseYear"] = F.when(kind != 3, fields["releaseYear"])
+    line = F.to_csv(F.struct(*(c.alias(n) for n, c in fields.items())))
+    damaged = F.when(kind == 0, F.regexp_replace(line, ",[^,]*,[^,]*$", "")).when(kind == 1, F.concat(line, F.lit(",x"))).otherwise(line)
+    _samples(spark, sf).select(damaged.alias("value")).write.text(path)
+    return path
+
+
 def _ctr(spark, sf, kind):
     train, test = _sample_split(spark, sf)
     fitted = CTR.MODELS[kind](train, FL.frequent_types(train))
@@ -300,6 +322,10 @@ QUERIES: dict[str, Query] = {
     "split_samples": lambda s, sf: SP.hash_split(
         SP.hash_sample(_samples(s, sf), KEY, seed=0), KEY, seed=1).select("userId", "productId", "timestamp", "label", "split"),
     "sample_job": _sample_job,
+    "samples_read": lambda s, sf: IO.read_samples(s, _damaged_samples(s, sf), header=False).select(
+        *KEY, "label", "releaseYear", _round("productAvgRating"), "userType5"),
+    "samples_skipped": lambda s, sf: IO.malformed_samples(s, _damaged_samples(s, sf), header=False),
+    "save_by_time": _save_by_time,
     "time_split": lambda s, sf: SP.time_split(_samples(s, sf).select("userId", "productId", "timestamp", "label"),
                                               exact=True),
     "time_split_approx": lambda s, sf: SP.time_split(
@@ -355,6 +381,7 @@ ORACLE: dict[str, str] = {
     "baseline_rmse": oracle.baseline_rmse_sql(),
     "baseline_logloss": oracle.baseline_logloss_sql(),
     "baseline_auc": oracle.baseline_auc_sql(),
+    **oracle.sample_file_sql(),
     "field_slots": oracle.field_slots_sql(),
     "training_samples": oracle.training_samples_sql(),
     "minimum_slice": oracle.minimum_slice_sql(),

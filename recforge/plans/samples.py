@@ -57,13 +57,14 @@ def minimum_slice(ratings: DataFrame, products: DataFrame, order_cols: Sequence[
 
 
 def save_train_test(samples: DataFrame, path: str, fraction: float = SAMPLE_FRACTION, train: float = TRAIN_FRACTION,
-                    by_time: bool = False, fmt: str = "csv") -> dict[str, str]:
+                    by_time: bool = False, fmt: str = "csv", exact: bool = False) -> dict[str, str]:
     """The job's end: sample, split and write ``path``/train and ``path``/test; returns both paths.
 
-    The split is by a draw by key, or, ``by_time``, at the time at or below which a share ``train`` of the sample lies.
+    The split is by a draw by key, or, ``by_time``, at the time at or below which a share ``train`` of the sample lies
+    (``exact``, or else to the sketch's error).
     """
     kept = hash_sample(samples, list(SAMPLE_KEY), fraction)
-    split = time_split(kept, q=train) if by_time else hash_split(kept, list(SAMPLE_KEY), train)
+    split = time_split(kept, q=train, exact=exact) if by_time else hash_split(kept, list(SAMPLE_KEY), train)
     split = split.checkpoint()  # both parts are written from one computation
     paths = {part: f"{path}/{part}" for part in ("train", "test")}
     for part, to in paths.items():

@@ -84,10 +84,22 @@ def read_embeddings(spark: SparkSession, path: str, key: str = "productId") -> D
     return raw.select(parts[0].alias(key), F.transform(F.split(parts[1], " "), lambda x: x.cast("float")).alias("emb"))
 
 
-def _read_sample_text(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as it is written, since numbers may hold thousands separators."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in SAMPLE_SCHEMA.fields])
-    return spark.read.csv(path, header=True, schema=text)
+_FIELDS = "_fields"  # how many fields a row has
+_QUOTED = r'"(?:[^"\\]|\\.)*"'
+
+
+def _read_sample_text(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """Every column as it is written, since numbers may hold thousands separators, and the row's number of fields.
+
+    Rows are lines.  Spark's CSV reader fills short rows and cuts long ones without a word, so fields are counted
+    first: commas outside quotes.  A header is the line of the columns' names."""
+    names = [f.name for f in SAMPLE_SCHEMA.fields]
+    lines = spark.read.text(path).where("trim(value) != ''")
+    if header:
+        lines = lines.where(F.col("value") != ",".join(names))
+    fields = F.size(F.split(F.regexp_replace("value", _QUOTED, "q"), ",", -1))
+    row = F.from_csv("value", ", ".join(f"{n} string" for n in names))
+    return lines.select(fields.alias(_FIELDS), row.alias("r")).select(_FIELDS, "r.*")
 
 
 def _number(name: str, kind: T.DataType) -> Column:
@@ -95,24 +107,36 @@ def _number(name: str, kind: T.DataType) -> Column:
     return plain.try_cast("double").cast(kind) if isinstance(kind, (T.IntegerType, T.LongType)) else plain.try_cast(kind)
 
 
-def read_samples(spark: SparkSession, path: str) -> DataFrame:
-    """Sample CSV as the click models read it: numbers without their
-    thousands separators, null or unreadable ones 0, null text ''.  No row is dropped."""
-    df = _read_sample_text(spark, path)
+def _unreadable() -> Column:
+    """Whether a number's field has text that is none; an empty field is not unreadable."""
+    wrong = F.lit(False)
+    for f in SAMPLE_SCHEMA.fields:
+        if not isinstance(f.dataType, T.StringType):
+            wrong = wrong | ((F.coalesce(F.trim(F.col(f.name)), F.lit("")) != "") & _number(f.name, f.dataType).isNull())
+    return wrong
+
+
+def read_samples(spark: SparkSession, path: str, header: bool = True, skip_malformed: bool = True) -> DataFrame:
+    """Sample CSV as the click models read it: numbers without their thousands separators, empty ones 0, null text ''.
+
+    Malformed rows (too few or too many fields, or text where a number should be) are skipped, as the models' readers
+    do; ``malformed_samples`` counts them.  ``skip_malformed=False`` keeps them, with 0 and '' for what can't be read.
+    """
+    df = _read_sample_text(spark, path, header)
+    if skip_malformed:
+        df = df.where((F.col(_FIELDS) == len(SAMPLE_SCHEMA.fields)) & ~_unreadable())
     return df.select(*(
         F.coalesce(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType)
         else F.coalesce(_number(f.name, f.dataType), F.lit(0).cast(f.dataType)).alias(f.name)
         for f in SAMPLE_SCHEMA.fields))
 
 
-def bad_samples(spark: SparkSession, path: str) -> DataFrame:
-    """One row with ``rows`` and ``bad``, those with a number that can't be read."""
-    wrong = [F.col(f.name).isNotNull() & _number(f.name, f.dataType).isNull()
-             for f in SAMPLE_SCHEMA.fields if not isinstance(f.dataType, T.StringType)]
-    any_wrong = wrong[0]
-    for w in wrong[1:]:
-        any_wrong = any_wrong | w
-    return _read_sample_text(spark, path).agg(F.count(F.lit(1)).alias("rows"), F.count_if(any_wrong).alias("bad"))
+def malformed_samples(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """One row: all ``rows``, those with ``wrong_fields`` in number, those otherwise ``unreadable``, and those ``kept``."""
+    short_or_long, wrong = F.col(_FIELDS) != len(SAMPLE_SCHEMA.fields), _unreadable()
+    flagged = _read_sample_text(spark, path, header).select(short_or_long.alias("f"), (~short_or_long & wrong).alias("u"))
+    return flagged.agg(F.count(F.lit(1)).alias("rows"), F.count_if("f").alias("wrong_fields"), F.count_if("u").alias("unreadable"),
+                       F.count_if(~F.col("f") & ~F.col("u")).alias("kept"))
 
 
 def save_model(model, path: str) -> None:

@@ -40,16 +40,30 @@ def test_samples_csv_read_back(spark, scratch):
     back = IO.read_samples(spark, scratch + "/samples")
     assert len(back.collect()) == s.count()
     assert back.where(F.col("userRatedproduct5").isNull()).count() == 0
-    assert IO.bad_samples(spark, scratch + "/samples").first().bad == 0
+    assert IO.malformed_samples(spark, scratch + "/samples").first().kept == s.count()
 
 
 def test_thousands_separators_survive(spark, scratch):
     s = training_samples(fx.ratings(spark, SF_SMALL), fx.products(spark, SF_SMALL), fx.RATING_ORDER).limit(10)
-    s = s.withColumn("productAvgRating", F.lit("1,234.50")).withColumn("userRatingStddev", F.lit("oops"))
-    IO.write_samples(s, scratch + "/comma")
+    IO.write_samples(s.withColumn("productAvgRating", F.lit("1,234.50")), scratch + "/comma")
     rows = IO.read_samples(spark, scratch + "/comma").collect()
-    assert len(rows) == 10 and all(r.productAvgRating == 1234.5 and r.userRatingStddev == 0 for r in rows)
-    assert tuple(IO.bad_samples(spark, scratch + "/comma").first()) == (10, 10)
+    assert len(rows) == 10 and all(r.productAvgRating == 1234.5 for r in rows)
+
+
+def test_malformed_rows(spark, scratch):
+    """Short, long and unreadable rows are skipped and counted, or kept if asked; empty fields are not malformed."""
+    names = [f.name for f in IO.SAMPLE_SCHEMA.fields]
+    good = ["1", "2", "4.5", "99", "1", "2000", "a", "b", "", "3", "1,234.50", "", *["7"] * 5, "5", "1999", "1.0", "2.0", "0", "x", "", "", "", "0"]
+    assert len(good) == len(names)
+    line = lambda fields: ",".join(f'"{x}"' if "," in x else x for x in fields)
+    oops = [*good[:10], "oops", *good[11:]]
+    with open(scratch + "/odd.csv", "w") as f:
+        f.write("\n".join(map(line, [names, good, good[:-3], [*good, "more"], oops, good, ["1"]])) + "\n")
+    rows = IO.read_samples(spark, scratch + "/odd.csv").collect()
+    assert len(rows) == 2 and all((r.productAvgRating, r.productRatingStddev, r.userType2, r.productType3) == (1234.5, 0.0, "", "") for r in rows)
+    assert tuple(IO.malformed_samples(spark, scratch + "/odd.csv").first()) == (6, 3, 1, 2)
+    kept = IO.read_samples(spark, scratch + "/odd.csv", skip_malformed=False).collect()
+    assert len(kept) == 6 and sorted(r.productAvgRating for r in kept) == [0.0, 0.0, 1234.5, 1234.5, 1234.5, 1234.5]
 
 
 def test_save_train_test(spark, scratch):
