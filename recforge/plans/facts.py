@@ -20,6 +20,7 @@ from recforge.operators import fields as FL
 from recforge.operators import item2vec as I2V
 from recforge.operators import ivf as IVF
 from recforge.operators import products as P
+from recforge.operators import quantiles as QU
 from recforge.operators import sequences as Q
 from recforge.operators import splits as SP
 from recforge.operators import walks as W
@@ -193,6 +194,23 @@ def bucket_facts(spark: SparkSession, sf: str) -> DataFrame:
                           F.count_if((scaled == 0) | (scaled == 1)).alias("at_bounds")), overlap)
 
 
+def sketch_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Merged daily sketches: the rank of the split in time, and those of 100 buckets' bounds, are within 2 %."""
+    ratings = fx.ratings(spark, sf)
+    daily = QU.sketches(ratings, "ts", QU.day_of(F.col("ts"))).checkpoint()
+    point = QU.split_point(daily)
+    split = ratings.select("ts", point.alias("_p")).agg(F.avg((F.col("ts") <= F.col("_p")).cast("double")).alias("share"))
+    counts = P.product_stats(ratings).select("productId", "ratingCount")
+    kept = QU.sketches(counts, "ratingCount", F.pmod("productId", F.lit(10))).checkpoint()
+    bounds = QU.quantiles(kept, [i / 100 for i in range(1, 100)]).agg(F.collect_list(F.struct("rank", "value"))).scalar()  # 99
+    ranks = counts.select("ratingCount", bounds.alias("_b")).select("ratingCount", F.inline("_b")).groupBy("rank", "value").agg(
+        F.avg((F.col("ratingCount") < F.col("value")).cast("double")).alias("lo"), F.avg((F.col("ratingCount") <= F.col("value")).cast("double")).alias("hi"))
+    off = (F.col("lo") > F.col("rank") + 0.02) | (F.col("hi") < F.col("rank") - 0.02)
+    return listed(daily.agg(F.count(F.lit(1)).alias("days"), F.sum("n").alias("ratings")),
+                  split.select((F.abs(F.col("share") - 0.8) > 0.02).cast("int").alias("split_is_off")),
+                  ranks.agg(F.count(F.lit(1)).alias("bounds"), F.count_if(off).alias("bounds_off")))
+
+
 def time_split_facts(spark: SparkSession, sf: str) -> DataFrame:
     """The approximate split point's rank is within the error, and the parts don't overlap."""
     split = SP.time_split(training_samples(fx.ratings(spark, sf), fx.products(spark, sf), ORDER).select("timestamp"))

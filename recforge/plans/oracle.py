@@ -436,6 +436,8 @@ def fact_sql() -> dict[str, str]:
         "lsh_facts": _facts(hashed="SELECT count(*) FROM embeddings", wrong_tables="0", finds_itself="1", too_many="0", wrong_distances="0"),
         "bucket_facts": stats + _facts(products="SELECT count(*) FROM p", out_of_bounds="0",
                                        at_bounds="SELECT count(*) FROM p WHERE m = (SELECT min(m) FROM p) OR m = (SELECT max(m) FROM p)", overlaps="0"),
+        "sketch_facts": with_views(RATINGS) + _facts(
+            days="SELECT count(DISTINCT ts // 86400) FROM ratings", ratings="SELECT count(*) FROM ratings", split_is_off="0", bounds="99", bounds_off="0"),
         "time_split_facts": sample + _facts(samples="SELECT count(*) FROM x", share_is_off="0", parts_overlap="0"),
         "ctr_facts": sample + _facts(**ctr),
     }

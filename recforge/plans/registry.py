@@ -374,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "lsh_facts": facts.lsh_facts,
     "bucket_facts": facts.bucket_facts,
     "time_split_facts": facts.time_split_facts,
+    "sketch_facts": facts.sketch_facts,
     "ctr_facts": lambda s, sf: facts.ctr_facts(s, sf, _sample_split),
 }
 
