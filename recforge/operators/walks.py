@@ -8,85 +8,95 @@ pairs.  The draw of a walk and a step is a 60-bit hash of (seed, walk, step):
 ``u = draw mod total`` picks the first interval whose cumulative count exceeds
 ``u``, so there is no floating-point gap at the end of a distribution.
 
-Plan shape: a step puts the walkers (at ``u``) and the intervals (at their last
-place) of a source in one order, and each walker takes the interval that follows
-it: one sort and one running window, without Python and without a pair of walker
-and interval that don't belong together.
-
-* cumulative counts per source are a window per source (size = out-degree);
-* the start distribution's prefix sum runs range by range (``prefix_sum``);
-* a source with more than ``rows`` intervals is cut into sub-ranges of its
-  cumulative counts, and one with more than ``rows`` walkers deals them to
-  copies of its intervals, so no group of a step grows with a hot item;
-* walkers are checkpointed every ``keep`` steps in the session's reliable
-  checkpoint directory, so lineage stays short.
+Plan shape: the pairs are laid once as an index of two bucketed tables, and a
+step joins the walkers to it, so only walkers are exchanged in a step.
+
+* one running sum over all pairs in the order (source, target), range by range
+  (``prefix_sum``), gives every pair its interval of one line; a source's pairs
+  are a stretch of that line, however many they are;
+* consecutive intervals of a source, at most ``BLOCK``, are one row of the table
+  of blocks, bucketed by (source, block);
+* a source's row in the directory, bucketed by source, has its stretch and the
+  ends of its blocks;
+* a walker finds its block in the directory's row and its interval in the
+  block's row by binary search: two joins on keys, and no Python;
+* walkers of a source with more than ``rows`` of them are dealt to copies of that
+  source's part of the index;
+* a step's walkers are checkpointed, and walks are put together once at the end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recforge.functions.hashing import draw
 from recforge.operators.prefix import RANGE_PARTS, prefix_sum
+from recforge.sources.tables import scratch_table
 
 N_WALKS = 20000    # walks generated
 WALK_LENGTH = 10   # items per walk at most
-GROUP_ROWS = 1_000_000  # intervals, and walkers, of one source that share a group
-KEEP_STEPS = 3     # steps between checkpoints
-
-
-def edge_cdf(pairs: DataFrame) -> DataFrame:
-    """src, dst, cnt, hi: cumulative count of src's edges up to dst (by id)."""
-    w = Window.partitionBy("src").orderBy("dst").rowsBetween(Window.unboundedPreceding, 0)
-    return pairs.select("src", "dst", "cnt", F.sum("cnt").over(w).cast("long").alias("hi"))
-
-
-def start_cdf(pairs: DataFrame, parts: int = RANGE_PARTS) -> DataFrame:
-    """src, cnt, hi, _p: global cumulative outgoing count over sources in id
-    order, plus the range partition holding the source."""
-    return prefix_sum(pairs.groupBy("src").agg(F.sum("cnt").cast("long").alias("cnt")), ["src"], "cnt", parts=parts)
-
-
-def interval_sizes(intervals: DataFrame, rows: int = GROUP_ROWS) -> DataFrame:
-    """g, total (its last cumulative count) and _width, that of each sub-range of a group of many intervals."""
-    return intervals.groupBy("g").agg(F.max("hi").alias("total"), F.ceil(F.count(F.lit(1)) / rows).alias("_subs")) \
-        .select("g", "total", F.ceil(F.col("total") / F.col("_subs")).cast("long").alias("_width"))
-
-
-def lay(intervals: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Intervals (g, item, cnt, hi) at the last place that each has in every sub-range that it reaches into."""
-    lo, last = F.floor((F.col("hi") - F.col("cnt")) / F.col("_width")), F.floor((F.col("hi") - 1) / F.col("_width"))
-    return intervals.join(sizes, "g").select("*", F.explode(F.sequence(lo, last)).alias("_sub")).select(
-        "g", "_sub", F.least(F.col("hi") - 1, (F.col("_sub") + 1) * F.col("_width") - 1).alias("at"),
-        F.col("item").cast("long").alias("item"))
-
-
-def take(walkers: DataFrame, laid: DataFrame, sizes: DataFrame, rows: int = GROUP_ROWS, crowded: bool = True) -> DataFrame:
-    """(w, path, item): each walker (g, w, path, draw) takes the first interval of its group that ends above
-    the draw modulo the group's total; in a group without intervals its item is null.
-
-    ``laid`` and ``sizes`` are of the intervals.  ``crowded`` says that a group may have more than
-    ``rows`` walkers; it needn't be counted if there are no more in all.
+GROUP_ROWS = 1_000_000  # walkers of one source that share a group
+BLOCK = 4096       # intervals of a block
+KEEP_STEPS = 1     # steps between checkpoints
+
+
+def line(pairs: DataFrame, parts: int = RANGE_PARTS, block: int = BLOCK) -> DataFrame:
+    """(g, item, cnt, hi, _p, blk): the pairs as intervals [hi - cnt, hi) in the order of (source, target),
+    with their range and their block, of at most ``block`` intervals that follow each other in one range."""
+    placed = prefix_sum(pairs.select(F.col("src").cast("long").alias("g"), F.col("dst").cast("long").alias("item"),
+                                     F.col("cnt").cast("long").alias("cnt")), ["g", "item"], "cnt", parts=parts)
+    place = F.row_number().over(Window.partitionBy("_p").orderBy("g", "item")) - 1
+    return placed.withColumn("blk", F.shiftleft(F.col("_p").cast("long"), 33) + F.floor(place / block))
+
+
+def lay(intervals: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """The index of intervals (g, item, cnt, hi, _p, blk): the directory (g, lo, total, ends, blks) and the
+    blocks (g, blk, ends, items), both bucketed tables in the checkpoint folder."""
+    spark = intervals.sparkSession
+    parts = F.array_sort(F.collect_list(F.struct("hi", "item")))
+    blocks = intervals.groupBy("_p", "g", "blk").agg(parts.alias("s"), F.min(F.col("hi") - F.col("cnt")).alias("lo")) \
+        .select("g", "blk", "lo", F.array_max("s.hi").alias("end"), F.col("s.hi").alias("ends"), F.col("s.item").alias("items"))
+    blocks = scratch_table(spark, blocks, f"{name}_blocks", ["g", "blk"])
+    heads = blocks.groupBy("g").agg(
+        F.min("lo").alias("lo"), F.max("end").alias("end"), F.array_sort(F.collect_list(F.struct("end", "blk"))).alias("s"))
+    directory = heads.select("g", "lo", (F.col("end") - F.col("lo")).alias("total"), F.col("s.end").alias("ends"),
+                             F.col("s.blk").alias("blks"))
+    return scratch_table(spark, directory, f"{name}_directory", ["g"]), blocks.drop("lo", "end")
+
+
+def first_above(ends: str, u: str, at_most: int = 1 << 31) -> Column:
+    """The position in the sorted array ``ends``, of at most so many, of the first that is above ``u``."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range((at_most - 1).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(ends, at + step - 1) <= F.col(u), at + step).otherwise(at))
+
+
+def look_up(walkers: DataFrame, directory: DataFrame, blocks: DataFrame, also: list[str], block: int) -> DataFrame:
+    """(w, item) of walkers (g, w, draw) by the index; ``also`` are further columns that all three share."""
+    placed = walkers.join(directory, ["g", *also]).withColumn("u", F.col("lo") + F.pmod("draw", "total"))
+    found = placed.select("g", *also, "w", "u", F.get("blks", first_above("ends", "u")).alias("blk"))
+    return found.join(blocks, ["g", *also, "blk"]).select("w", F.get("items", first_above("ends", "u", block)).alias("item"))
+
+
+def take(walkers: DataFrame, index: tuple[DataFrame, DataFrame], rows: int = GROUP_ROWS, block: int = BLOCK,
+         crowded: bool = True) -> DataFrame:
+    """(w, item): each walker (g, w, draw) takes the first interval of its group that ends above the draw
+    modulo the group's total; one in a group without intervals has no row.
+
+    ``crowded`` says that a group may have more than ``rows`` walkers; it needn't be counted if there are no more in all.
     """
-    info, laid = sizes.withColumn("_copies", F.lit(1)), laid.withColumn("_copy", F.lit(0))
-    if crowded:
-        crowds = walkers.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("_copies"))
-        info = sizes.join(crowds, "g")
-        laid = laid.drop("_copy").join(crowds, "g") \
-            .select("*", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"))
-    stand = walkers.join(info, "g", "left").withColumn("at", F.pmod("draw", "total")).select(
-        # A walker that can't go on is a group of its own.
-        "g", F.coalesce(F.floor(F.col("at") / F.col("_width")), F.col("w")).alias("_sub"),
-        F.pmod("w", "_copies").cast("int").alias("_copy"), "at", F.lit(1).alias("_kind"), "w", "path",
-        F.lit(None).cast("long").alias("item"))
-    laid = laid.select("g", "_sub", "_copy", "at", F.lit(0).alias("_kind"), F.lit(None).cast("long").alias("w"),
-                       F.lit(None).cast("array<long>").alias("path"), "item")
-    # From the end backwards, an interval comes before the walkers that it serves.
-    order = Window.partitionBy("g", "_sub", "_copy").orderBy(F.desc("at"), "_kind") \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    return stand.unionByName(laid).withColumn("item", F.last("item", ignorenulls=True).over(order)) \
-        .where("_kind = 1").select("w", "path", "item")
+    if not crowded:
+        return look_up(walkers, *index, [], block)
+    # At most one row for each ``rows`` walkers.
+    crowds = F.broadcast(walkers.groupBy("g").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
+                         .select("g", F.ceil(F.col("_n") / rows).cast("int").alias("_copies")))
+    copied = [t.join(crowds, "g").select(*t.columns, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"))
+              for t in index]
+    dealt = walkers.join(crowds, "g").select(*walkers.columns, F.pmod("w", "_copies").cast("int").alias("_copy"))
+    return look_up(walkers.join(crowds, "g", "left_anti"), *index, [], block).unionByName(
+        look_up(dealt, *copied, ["_copy"], block))
 
 
 def random_walks(
@@ -99,37 +109,29 @@ def random_walks(
     rows: int = GROUP_ROWS,
     keep: int = KEEP_STEPS,
 ) -> DataFrame:
-    """walk_id, path (array<long>, 1..length items).  Building the plan runs the jobs of the checkpoints."""
-    edges = edge_cdf(pairs.select("src", "dst", "cnt")).checkpoint()
-    intervals = edges.select(F.col("src").alias("g"), F.col("dst").alias("item"), "cnt", "hi")
-    sizes, crowded = interval_sizes(intervals, rows).checkpoint(), n_walks > rows
-    laid = lay(intervals, sizes).checkpoint()
-    starts = start_cdf(edges, parts)
-    grand = starts.agg(F.max("hi")).scalar()
+    """walk_id, path (array<long>, 1..length items).  Building the plan runs the jobs of the steps."""
+    block, crowded = min(BLOCK, rows), n_walks > rows
+    index = lay(line(pairs, parts, block), "walks")
+    # Sources by the range and block of their last pair, so that a group is bounded as ranges and blocks are.
+    last = F.element_at("blks", -1)
+    sources = index[0].select(F.shiftright(last, 33).alias("g"), F.shiftright(last, 33).alias("_p"), F.col("g").alias("item"),
+                              F.col("total").alias("cnt"), (F.col("lo") + F.col("total")).alias("hi"), last.alias("blk"))
+    starts = lay(sources, "starts")
+    grand = index[0].agg(F.max(F.col("lo") + F.col("total"))).scalar()
     # Lower bounds of the ranges, sorted: one entry for each.
-    bounds = starts.groupBy("_p").agg(F.min(F.col("hi") - F.col("cnt")).alias("lo"), F.max("hi").alias("end")).agg(
-        F.array_sort(F.collect_list(F.struct("lo", "_p")))).scalar()
+    bounds = starts[0].agg(F.array_sort(F.collect_list(F.struct("lo", F.col("g").alias("p"))))).scalar()
     first = spark.range(n_walks).select(F.col("id").alias("w"), F.pmod(draw(seed, F.col("id"), F.lit(0)), grand).alias("u"),
                                         bounds.alias("_bounds"))
     first = first.select("w", "u", F.element_at(F.filter("_bounds", lambda b: b["lo"] <= F.col("u")), -1).alias("_b")) \
-        .where("_b is not null").select(F.col("_b._p").alias("g"), "w", F.array().cast("array<long>").alias("path"),
-                                        (F.col("u") - F.col("_b.lo")).alias("draw"))
-    own = Window.partitionBy("_p")
-    ranges = starts.withColumn("_lo", F.min(F.col("hi") - F.col("cnt")).over(own)).select(
-        F.col("_p").alias("g"), F.col("src").alias("item"), "cnt", (F.col("hi") - F.col("_lo")).alias("hi"))
-    range_sizes = interval_sizes(ranges, rows)
-    cur = take(first, lay(ranges, range_sizes), range_sizes, rows, crowded) \
-        .withColumn("path", F.array("item")).checkpoint()
-    ended = []
+        .where("_b is not null").select(F.col("_b.p").alias("g"), "w", (F.col("u") - F.col("_b.lo")).alias("draw"))
+    cur = take(first, starts, rows, block, crowded).checkpoint()
+    steps = [cur]
     for k in range(1, length):
-        at = cur.select(F.col("item").alias("g"), "w", "path", draw(seed, F.col("w"), F.lit(k)).alias("draw"))
-        cur = take(at, laid, sizes, rows, crowded) \
-            .withColumn("path", F.when(F.col("item").isNull(), F.col("path")).otherwise(F.concat("path", F.array("item"))))
-        if (crowded or k % keep == 0) and k + 1 < length:
+        at = cur.select(F.col("item").alias("g"), "w", draw(seed, F.col("w"), F.lit(k)).alias("draw"))
+        cur = take(at, index, rows, block, crowded)
+        if k % keep == 0 or k + 1 == length:
             cur = cur.checkpoint()
-            ended.append(cur.where("item is null").select("w", "path"))
-            cur = cur.where("item is not null")
-    out = cur.select("w", "path")
-    for walks in ended:
-        out = out.unionByName(walks)
-    return out.select(F.col("w").alias("walk_id"), "path")
+        steps.append(cur)
+    every = reduce(DataFrame.unionByName, [s.withColumn("k", F.lit(k)) for k, s in enumerate(steps)])
+    return every.groupBy(F.col("w").alias("walk_id")).agg(F.array_sort(F.collect_list(F.struct("k", "item"))).alias("s")) \
+        .select("walk_id", F.col("s.item").alias("path"))

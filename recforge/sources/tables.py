@@ -2,14 +2,20 @@
 
 A day's samples are replaced without touching other days, and rows of a user lie
 in one bucket, in the order of time: windows and joins by user read the table without an exchange.
+
+``scratch_table`` is for operators that join one side again and again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recforge.operators.quantiles import day_of
+from recforge.session import ensure_checkpoint_dir
 
 DAY = "day"
 BUCKETS = 16  # of each day; as many as the cluster has cores for a large table
@@ -32,3 +38,13 @@ def replace_days(samples: DataFrame, name: str) -> None:
     table = samples.sparkSession.table(name)
     rows = with_day(samples).select(*table.columns)
     rows.write.mode("overwrite").insertInto(name)
+
+
+def scratch_table(spark: SparkSession, df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """``df`` as a new table in the checkpoint folder, bucketed by ``keys`` into the session's number of shuffle
+    partitions: an equi-join by exactly these keys exchanges the other side only."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.format("parquet").option("path", f"{ensure_checkpoint_dir(spark)}/{table}") \
+        .bucketBy(buckets, *keys).saveAsTable(table)
+    return spark.table(table)

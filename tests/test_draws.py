@@ -80,11 +80,51 @@ def test_hot_items_are_split_without_changing_a_walk(spark):
     plain = sorted(map(str, W.random_walks(spark, pairs, n_walks=300, length=5, seed=4).collect()))
     split = sorted(map(str, W.random_walks(spark, pairs, n_walks=300, length=5, seed=4, rows=7, keep=2).collect()))
     assert plain == split
-    intervals = spark.createDataFrame([(0, 1, 2, 2)], "g long, item long, cnt long, hi long")
-    walkers = spark.createDataFrame([(0, 1, [0], 5)], "g long, w long, path array<long>, draw long")
-    sizes = W.interval_sizes(intervals)
-    plan = W.take(walkers, W.lay(intervals, sizes), sizes)._jdf.queryExecution().toString()
-    assert "Pandas" not in plan and "Python" not in plan
+
+
+def test_a_step_exchanges_walkers_only(spark):
+    pairs = spark.createDataFrame([(a, b, 1 + a) for a in range(30) for b in range(9)], "src long, dst long, cnt long")
+    index = W.lay(W.line(pairs, block=4), "test")
+    walkers = spark.range(40).select((F.col("id") % 30).alias("g"), F.col("id").alias("w"), F.col("id").alias("draw"))
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        step = W.take(walkers, index, block=4, crowded=False)
+        plan = step._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    lines = plan.splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan parquet" in line]
+    assert len(scans) == 2 and "Python" not in plan and "Pandas" not in plan
+    assert sum("Exchange" in line for line in lines) == 2
+    for i in scans:  # nothing is exchanged between a scan and the join above it
+        above = [line for line in lines[:i]]
+        depth = [len(line) - len(line.lstrip(" :+-|")) for line in lines]
+        d, path = depth[i], []
+        for k in range(i - 1, -1, -1):
+            if depth[k] < d:
+                path.append(above[k])
+                d = depth[k]
+            if "Join" in above[k] and depth[k] <= d:
+                break
+        assert path and not any("Exchange" in line for line in path)
+
+
+def test_a_walker_takes_the_interval_of_its_draw(spark):
+    counts = {(a, b): 1 + (a * 7 + b * 3) % 5 for a in (3, 2_000_000_000, 1 << 40) for b in range(0, 40, 1 + a % 3)}
+    pairs = spark.createDataFrame([(*k, n) for k, n in counts.items()], "src long, dst long, cnt long")
+    walkers = [(a, 1000 * i + d, d) for i, a in enumerate((3, 2_000_000_000, 1 << 40, 77)) for d in range(150)]
+    want = {}
+    for a, w, d in walkers:
+        line = [b for (s, b), n in sorted(counts.items()) if s == a for _ in range(n)]
+        if line:
+            want[w] = line[d % len(line)]
+    at = spark.createDataFrame(walkers, "g long, w long, draw long")
+    for block, rows in ((1, 10 ** 6), (3, 40), (4096, 1)):
+        got = W.take(at, W.lay(W.line(pairs, block=block), "test"), rows=rows, block=block).collect()
+        assert len(got) == len(want) and {r.w: r.item for r in got} == want
+    none = W.random_walks(spark, pairs.where("cnt < 0"), n_walks=5)
+    assert none.columns == ["walk_id", "path"] and none.collect() == []
 
 
 def test_exact_quantile(spark):
