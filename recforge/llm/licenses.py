@@ -8,11 +8,22 @@ moves the rest of a template by one, and the span they cover is verified word by
 word in the document's text: its score is the share of the template's words that
 stand there.
 
+Licenses differ from each other in few words, so two more checks are made.  A
+template's telling words (``licenses.Template.telling``) must all stand in the
+span, and no telling word of another license may stand in it beside the
+template's own words (a number may: versions are told apart by the first check).
+Of spans that share half or more of the shorter one, the one that explains its
+stretch best stays: its words found, less the words that stand between them
+unexplained and the template's words not found.
+
 A template of fewer than ``K`` words is sought by its own number of words.  A
 short phrase (``BASE``) stands wherever a diagonal has all of its votes, which
 is verified as well; it is never merged with neighbours.
 
-Nulls: a null text is empty; a null id is an ordinary value.  Repeated rows each
+Very long texts are split by their hashes, batch by batch, and verified by the
+places that were hit; a text's own words are the largest thing held.
+Ties between spans that explain equally much: the higher score, then the earlier
+start, then the order of the templates.  Nulls: a null text is empty; a null id is an ordinary value.  Repeated rows each
 get their row.  Empty table: no rows.
 """
 
@@ -39,6 +50,7 @@ class Template:
     label: str
     words: tuple[str, ...]
     base: bool = False
+    telling: frozenset[str] = frozenset()
 
     @property
     def k(self) -> int:
@@ -47,30 +59,85 @@ class Template:
 
 # Phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-# Notices of widely used licenses and their labels.
+# Notices of widely used licenses: labels, words, and the telling ones of them.
 NOTICES = (
-    ("apache-2.0", "licensed under the apache license version 2.0"),
-    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache-2.0", "licensed under the apache license version 2.0", "apache 2"),
+    ("apache-2.0", "apache license version 2.0", "apache 2"),
+    ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at", ""),
+    ("apache-1.1", "licensed under the apache license version 1.1", "apache 1"),
+    ("apache-1.1", "apache license version 1.1", "apache 1"),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general "
+             "public license as published by the free software foundation", "affero"),
+    ("agpl-3.0", "licensed under the gnu affero general public license version 3", "affero 3"),
+    ("agpl-3.0", "the gnu affero general public license version 3", "affero 3"),
+    ("artistic-2.0", "licensed under the artistic license 2.0", "artistic 2"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
-            "that the following conditions are met"),
-    ("cc-by", "licensed under a creative commons attribution 4.0 international license"),
-    ("cc-by-nc", "licensed under cc by nc 4.0"),
-    ("cc-by-sa", "licensed under a creative commons attribution sharealike 4.0 international license"),
-    ("gpl-3.0", "licensed under the gnu general public license version 3"),
+            "that the following conditions are met", ""),
+    ("bsd-2-clause", "licensed under the bsd 2 clause license", "bsd 2 clause"),
+    ("bsd-3-clause", "licensed under the bsd 3 clause license", "bsd 3 clause"),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission", "endorse"),
+    ("bsl-1.0", "distributed under the boost software license version 1.0", "boost 1"),
+    ("cc0-1.0", "cc0 1.0 universal public domain dedication", "cc0"),
+    ("cc0-1.0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+     "waived"),
+    ("cc-by", "licensed under a creative commons attribution 4.0 international license", "attribution"),
+    ("cc-by-nc", "licensed under cc by nc 4.0", "nc"),
+    ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4.0 international license", "attribution noncommercial"),
+    ("cc-by-nc-nd", "licensed under cc by nc nd 4.0", "nc nd"),
+    ("cc-by-nc-nd", "licensed under a creative commons attribution noncommercial noderivatives 4.0 international license",
+     "attribution noncommercial noderivatives"),
+    ("cc-by-nc-nd", "licensed under a creative commons attribution noncommercial noderivs 3.0 unported license",
+     "attribution noncommercial noderivs"),
+    ("cc-by-nc-sa", "licensed under cc by nc sa 4.0", "nc sa"),
+    ("cc-by-nc-sa", "licensed under a creative commons attribution noncommercial sharealike 4.0 international license",
+     "attribution noncommercial sharealike"),
+    ("cc-by-nd", "licensed under cc by nd 4.0", "nd"),
+    ("cc-by-nd", "licensed under a creative commons attribution noderivatives 4.0 international license", "attribution noderivatives"),
+    ("cc-by-nd", "licensed under a creative commons attribution noderivs 3.0 unported license", "attribution noderivs"),
+    ("cc-by-sa", "licensed under cc by sa 4.0", "sa"),
+    ("cc-by-sa", "licensed under a creative commons attribution sharealike 4.0 international license", "attribution sharealike"),
+    ("epl-1.0", "made available under the terms of the eclipse public license v1.0", "eclipse v1"),
+    ("epl-2.0", "made available under the terms of the eclipse public license 2.0", "eclipse 2"),
+    ("eupl-1.2", "licensed under the european union public licence version 1.2", "european 1 2"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general "
-            "public license as published by the free software foundation"),
+            "public license as published by the free software foundation", "general"),
+    ("gpl-2.0", "licensed under the gnu general public license version 2", "general 2"),
+    ("gpl-2.0", "the gnu general public license version 2", "general 2"),
+    ("gpl-2.0", "gnu general public license v2", "general v2"),
+    ("gpl-3.0", "licensed under the gnu general public license version 3", "general 3"),
+    ("gpl-3.0", "the gnu general public license version 3", "general 3"),
+    ("gpl-3.0", "gnu general public license v3", "general v3"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is "
-            "hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+            "hereby granted provided that the above copyright notice and this permission notice appear in all copies", ""),
     ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser "
-             "general public license as published by the free software foundation"),
-    ("mit", "released under the mit license"),
+             "general public license as published by the free software foundation", "lesser"),
+    ("lgpl-2.1", "licensed under the gnu lesser general public license version 2.1", "lesser 2 1"),
+    ("lgpl-2.1", "the gnu lesser general public license version 2.1", "lesser 2 1"),
+    ("lgpl-3.0", "licensed under the gnu lesser general public license version 3", "lesser 3"),
+    ("lgpl-3.0", "the gnu lesser general public license version 3", "lesser 3"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-            "documentation files the software to deal in the software without restriction"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2.0"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
+            "documentation files the software to deal in the software without restriction", ""),
+    ("mpl-1.1", "subject to the mozilla public license version 1.1 you may not use this file except in compliance with the license",
+     "mozilla 1"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2.0", "mozilla 2"),
+    ("ofl-1.1", "this font software is licensed under the sil open font license version 1.1", "sil"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
+    ("wtfpl", "do what the fuck you want to public license", "want"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for "
+             "any damages arising from the use of this software", ""),
 )
-TEMPLATES = (*(Template(label, tuple(grams.words_of(p)), True) for p, label in BASE.items()),
-             *(Template(label, tuple(grams.words_of(p))) for label, p in NOTICES))
+# Licenses known by one word, and how they are named.
+NAMES = ("agpl", "bsd", "gpl", "isc", "lgpl", "mit", "zlib")
+NAMED = ("released under the {} license", "under the terms of the {} license")
+
+
+def template(label: str, phrase: str, telling: str = "", base: bool = False) -> Template:
+    return Template(label, tuple(grams.words_of(phrase)), base, frozenset(telling.split()))
+
+
+TEMPLATES = (*(template(label, p, base=True) for p, label in BASE.items()), *(template(*n) for n in NOTICES),
+             *(template(name, p.format(name), name) for p in NAMED for name in NAMES))
 
 
 def seeds(spark, templates: tuple[Template, ...]) -> DataFrame:
@@ -124,12 +191,32 @@ def merged(diagonals: list[tuple[int, set[int]]], drift: int = DRIFT) -> list[li
     return groups
 
 
+def best(rivals: list[tuple[int, float, int, int, int]]) -> list[tuple[int, float, int, int, int]]:
+    """Of spans (explained, score, start, end, template) that share half or more of the shorter, the one that explains most."""
+    stretches: list[list[tuple[int, float, int, int, int]]] = []
+    reach = -1
+    for x in sorted(rivals, key=lambda x: (x[2], x[3])):
+        if x[2] >= reach:
+            stretches.append([])
+        stretches[-1].append(x)
+        reach = max(reach, x[3])
+    kept = []
+    for stretch in stretches:
+        taken: list[tuple[int, float, int, int, int]] = []
+        for x in sorted(stretch, key=lambda x: (-x[0], -x[1], x[2], x[4])):
+            if all(2 * (min(x[3], y[3]) - max(x[2], y[2])) < min(x[3] - x[2], y[3] - y[2]) for y in taken):
+                taken.append(x)
+        kept += taken
+    return kept
+
+
 def verify(words: list[str], diagonals: list[dict], templates: tuple[Template, ...], similar: float = SIMILAR):
     """Spans (label, base, start, end, score) that stand in a document's words."""
+    others = frozenset(w for x in templates for w in x.telling if w.isalpha())
     by_template: dict[int, list[tuple[int, set[int]]]] = {}
     for x in diagonals:
         by_template.setdefault(x["template"], []).append((x["diagonal"], set(x["places"])))
-    spans = []
+    spans, rivals = [], []
     for t, found in by_template.items():
         template = templates[t]
         need, n = len(template.words) - template.k + 1, len(template.words)
@@ -142,9 +229,15 @@ def verify(words: list[str], diagonals: list[dict], templates: tuple[Template, .
                 continue
             pairs = {(d + p + i, p + i) for d, places in group for p in places for i in range(template.k)}
             pairs = {(at, p) for at, p in pairs if words[at] == template.words[p]}
-            score = len({p for _, p in pairs}) / n
-            if score >= similar:
-                spans.append((template.label, False, min(a for a, _ in pairs), max(a for a, _ in pairs) + 1, score))
+            at, stands = {a for a, _ in pairs}, {p for _, p in pairs}
+            if len(stands) < similar * n or any(w in template.telling and p not in stands for p, w in enumerate(template.words)):
+                continue
+            start, end = min(at), max(at) + 1
+            if not {words[i] for i in range(start, end) if i not in at}.isdisjoint(others - set(template.words)):
+                continue
+            explained = len(at) - (end - start - len(at)) - (n - len(stands))
+            rivals.append((explained, len(stands) / n, start, end, t))
+    spans += [(templates[t].label, False, start, end, score) for _, score, start, end, t in best(rivals)]
     return sorted(spans, key=lambda s: (s[2], s[3], s[0]))
 
 
