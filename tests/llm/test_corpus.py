@@ -61,6 +61,23 @@ def test_exchange_finds_planted_classes(spark):
     assert len(set(of[:6])) == 1 and len(set(of[6:12])) == 1 and of[0] != of[6]
 
 
+def test_exchange_ends_where_a_cycle_gains_little(spark):
+    """Without a number of rounds, no cycle that begins at the result gains the stated share."""
+    rng = random.Random(8)
+    pairs = collections.Counter((min(int(rng.expovariate(.15)), 23), (w := rng.randrange(24))) for _ in range(5000))
+    pairs.update((w, (w * 5 + rng.randrange(3)) % 24) for w in range(24) for _ in range(60))
+    table = spark.createDataFrame([(a, b, n) for (a, b), n in pairs.items()], "a bigint, b bigint, n bigint")
+    of = classlm.exchange(table, 24, classes=4, enough=1e-3)
+    dense = np.zeros((26, 26))
+    for (a, b), n in pairs.items():
+        dense[a, b] = n
+    start = np.concatenate([np.arange(24) % 4, [4, 5]])
+    reached = classlm.likelihood(pair_matrix(dense, of, 6))
+    assert reached > classlm.likelihood(pair_matrix(dense, start, 6))
+    further = classlm.exchange(table, 24, classes=4, rounds=40, enough=0)
+    assert classlm.likelihood(pair_matrix(dense, further, 6)) >= reached
+
+
 def plain_base(texts):
     words = [(i, (t or "").encode().lower().split() + [None]) for i, t in texts]
     held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in texts]
@@ -139,11 +156,21 @@ def test_repeats_random(spark, full):
     assert rows_of(repeats.remove_repeats(frame(spark, texts), full), *COLUMNS) == plain_repeats(texts)
 
 
+def test_texts_of_one_number_stay_apart(spark):
+    """Different texts that share their first number aren't taken for copies of each other."""
+    rng = random.Random(4)
+    letters = lambda n: "".join(rng.choice("abc d") for _ in range(n))
+    one, other, third = letters(500), letters(500), letters(500)
+    texts = [(1, one), (2, other), (3, one), (4, third[:250] + other[:250]), (5, third), (6, "x"), (7, "x"), (8, "y"), (9, None)]
+    from pyspark.sql import functions as F
+    for number in (F.octet_length, lambda text: F.lit(7)):
+        assert rows_of(repeats.remove_repeats(frame(spark, texts), number=number), *COLUMNS) == plain_repeats(texts)
+
+
 def test_long_texts_are_parsed_in_slices(monkeypatch):
     rng = np.random.default_rng(4)
     data = rng.integers(97, 101, 30_000).astype(np.uint8)
     whole = [(r, s.tolist(), n.tolist(), t.tolist()) for r, s, n, t, _ in repeats.parsed(data, np.array([0, len(data)]))]
-    monkeypatch.setattr(repeats, "_SLICE", 4096)
     monkeypatch.setattr(repeats, "_CHUNK", 4096)
     slices = list(repeats.parsed(data, np.array([0, len(data)])))
     starts = lambda found: sorted(x for _, s, n, *_ in found for a, k in zip(s, n) for x in range(a, a + k))
