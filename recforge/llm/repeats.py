@@ -23,17 +23,18 @@ that two rows hold is repeated as a whole.  Hashes of texts are 64 bits
 wide, those of entries and pieces 128; they are taken for what they hash.
 
 Nulls: a null text has no bytes.  Repeated rows are copies of each other.  Empty
-table: no rows.
+table: no rows.  Texts are named by 64-bit hashes; different texts of one hash are found by
+their SHA-256 and named by it.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recforge.llm import common as C
@@ -349,9 +350,19 @@ def cut_texts(texts: DataFrame, marks: DataFrame) -> DataFrame:
         C.by_batch(run, _CUT, "tid", "text", "marks"), "tid bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, full: int = FULL) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row."""
-    rows = C.texts(docs).withColumn("tid", F.xxhash64("text"))
+def named(rows: DataFrame, number: Callable[[str], Column]) -> DataFrame:
+    """``rows`` with ``sha``, the SHA-256 of the text, and ``tid``, a number of it: different texts that share a
+    number take one of their SHA-256 instead, so that none goes as a copy of another."""
+    rows = rows.withColumn("sha", F.sha2(F.col("text").cast("binary"), 256)).withColumn("tid", number("text").cast("bigint"))
+    # Only numbers and digests are shuffled; the table of clashes is empty up to about 2^32 texts.
+    clashes = C.written(rows.groupBy("tid").agg(F.min("sha").alias("lo"), F.max("sha").alias("hi")).where("lo != hi").select("tid"), "clashes")
+    return rows.join(clashes.withColumn("clash", F.lit(True)), "tid", "left") \
+        .withColumn("tid", F.when(F.col("clash"), F.xxhash64("sha")).otherwise(F.col("tid"))).drop("clash")
+
+
+def remove_repeats(docs: DataFrame, full: int = FULL, number: Callable[[str], Column] = F.xxhash64) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row; ``number`` tells texts apart at first."""
+    rows = named(C.texts(docs), number)
     long = rows.where(F.octet_length("text") >= N).select("tid", "text")
     # A text that two rows hold goes as a whole, whatever else it shares.
     copied = long.groupBy("tid").agg(F.count("*").alias("rows")).where("rows > 1").select("tid")
@@ -361,7 +372,7 @@ def remove_repeats(docs: DataFrame, full: int = FULL) -> DataFrame:
     cut = cut_texts(texts, partly)
     empty = hashlib.sha256(b"").hexdigest()
     size = F.octet_length("text").cast("bigint")
-    flat = rows.select("doc_id", "tid", size.alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    flat = rows.select("doc_id", "tid", size.alias("n_bytes"), "sha")
     return flat.join(copied.withColumn("copy", F.lit(True)), "tid", "left").join(cut, "tid", "left").select(
         "doc_id", "n_bytes",
         F.when(F.col("copy"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
