@@ -354,8 +354,12 @@ def named(rows: DataFrame, number: Callable[[str], Column]) -> DataFrame:
     """``rows`` with ``sha``, the SHA-256 of the text, and ``tid``, a number of it: different texts that share a
     number take one of their SHA-256 instead, so that none goes as a copy of another."""
     rows = rows.withColumn("sha", F.sha2(F.col("text").cast("binary"), 256)).withColumn("tid", number("text").cast("bigint"))
-    # Only numbers and digests are shuffled; the table of clashes is empty up to about 2^32 texts.
-    clashes = C.written(rows.groupBy("tid").agg(F.min("sha").alias("lo"), F.max("sha").alias("hi")).where("lo != hi").select("tid"), "clashes")
+    # Only numbers are shuffled; there is no clash up to about 2^32 texts, and then no join.
+    second = rows.select("tid", F.xxhash64("sha").alias("other"))
+    clashes = C.written(second.groupBy("tid").agg(F.min("other").alias("lo"), F.max("other").alias("hi"))
+                        .where("lo != hi").select("tid"), "clashes")
+    if clashes.isEmpty():
+        return rows
     return rows.join(clashes.withColumn("clash", F.lit(True)), "tid", "left") \
         .withColumn("tid", F.when(F.col("clash"), F.xxhash64("sha")).otherwise(F.col("tid"))).drop("clash")
 
