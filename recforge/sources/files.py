@@ -92,18 +92,20 @@ def _read_sample_text(spark: SparkSession, path: str, header: bool = True) -> Da
     """Every column as it is written, since numbers may hold thousands separators, and the row's number of fields.
 
     Rows are lines.  Spark's CSV reader fills short rows and cuts long ones without a word, so fields are counted
-    first: commas outside quotes.  A header is the line of the columns' names."""
+    first: commas outside quotes.  A header is the line of the columns' names.  Each line is parsed once: a filter isn't
+    pushed below the generator, where it would parse the line again for each field it looks at."""
     names = [f.name for f in SAMPLE_SCHEMA.fields]
     lines = spark.read.text(path).where("trim(value) != ''")
     if header:
         lines = lines.where(F.col("value") != ",".join(names))
-    fields = F.size(F.split(F.regexp_replace("value", _QUOTED, "q"), ",", -1))
+    bare = F.when(F.contains("value", F.lit('"')), F.regexp_replace("value", _QUOTED, "q")).otherwise(F.col("value"))
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     row = F.from_csv("value", ", ".join(f"{n} string" for n in names))
-    return lines.select(fields.alias(_FIELDS), row.alias("r")).select(_FIELDS, "r.*")
+    return lines.select(fields.alias(_FIELDS), F.explode(F.array(row)).alias("r")).select(_FIELDS, "r.*")
 
 
 def _number(name: str, kind: T.DataType) -> Column:
-    plain = F.regexp_replace(F.trim(F.col(name)), ",", "")
+    plain = F.replace(F.trim(F.col(name)), F.lit(","), F.lit(""))
     return plain.try_cast("double").cast(kind) if isinstance(kind, (T.IntegerType, T.LongType)) else plain.try_cast(kind)
 
 

@@ -27,3 +27,9 @@ def test_pairs_without_an_item_vector_leave_before_vectors_join(spark):
     scored = E.two_tower_scores(pairs, users, items)
     assert {(r[0], r[1], r["score"]) for r in scored.collect()} == {(1, 5, 3.0), (2, 6, 1.0)}
     assert "LeftSemi" in plan(scored)
+
+
+def test_a_sample_line_is_parsed_once(spark, scratch):
+    from recforge.sources import files as IO
+    spark.range(1).select(F.lit("1,2,x").alias("value")).write.text(f"{scratch}/lines")
+    assert IO.read_samples(spark, f"{scratch}/lines")._jdf.queryExecution().optimizedPlan().toString().count("from_csv") <= 1
