@@ -28,7 +28,7 @@ def rank_by_frequency(words: Column) -> Column:
             w.alias("w"),
         ),
     )
-    return F.transform(F.array_sort(keyed), lambda s: s["w"])
+    return F.transform(F.sort_array(keyed), lambda s: s["w"])  # no lambda per comparison; positions differ
 
 
 def sort_by_keys(structs: Column, value_field: str) -> Column:
