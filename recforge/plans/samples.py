@@ -38,13 +38,13 @@ def training_samples(
     """One wide row per rating event after a user's second: the event, its
     product's features and the user's history just before it."""
     labelled = add_label(ratings)
-    with_user = add_user_features(join_products(labelled, products), order_cols, history=history,
+    # Product statistics cover every rating (not just the kept rows).  They are joined beside the product's
+    # attributes, by the same key and before the window: rows are dealt by product while they are narrow, and
+    # the far wider rows that leave the window aren't dealt again.
+    with_product = join_products(labelled, products).join(product_rating_features(labelled), on=["productId"], how="left")
+    with_user = add_user_features(with_product, order_cols, history=history,
                                   rows_per_chunk=rows_per_chunk, counted=ratings.select("userId"))
-    # Product statistics cover every rating (not just the kept rows) and are
-    # joined after the window: when the per-product table is small, AQE turns
-    # this join into a broadcast and the windowed rows are not shuffled again.
-    with_stats = with_user.join(product_rating_features(labelled), on=["productId"], how="left")
-    return with_stats.withColumnRenamed("ts", "timestamp").select(*SAMPLE_COLUMNS)
+    return with_user.withColumnRenamed("ts", "timestamp").select(*SAMPLE_COLUMNS)
 
 
 def minimum_slice(ratings: DataFrame, products: DataFrame, order_cols: Sequence[str] = ("ts", "productId"),
