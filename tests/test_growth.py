@@ -33,3 +33,31 @@ def test_a_sample_line_is_parsed_once(spark, scratch):
     from recforge.sources import files as IO
     spark.range(1).select(F.lit("1,2,x").alias("value")).write.text(f"{scratch}/lines")
     assert IO.read_samples(spark, f"{scratch}/lines")._jdf.queryExecution().optimizedPlan().toString().count("from_csv") <= 1
+
+
+def test_product_statistics_join_before_the_window(spark):
+    """The wide rows that leave the window are never dealt again by product."""
+    from recforge.plans.registry import _samples
+    from .conftest import SF_SMALL
+    tree = _samples(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = {w: min(i for i, line in enumerate(tree) if w in line) for w in ("Window [", "Join ")}
+    assert at["Window ["] < at["Join "]
+
+
+def test_model_input_is_read_from_a_checkpoint(spark):
+    from recforge.operators import als as AL
+    from recforge.sources import fixtures as fx
+    from .conftest import SF_SMALL
+    ratings = fx.ratings(spark, SF_SMALL)
+    for narrow, wide in zip(AL.model_input(ratings), AL.train_test(ratings)):
+        columns = ["userIdInt", "productIdInt", "ratingFloat"]
+        assert narrow.columns == columns and "Join" not in plan(narrow)
+        assert narrow.exceptAll(wide.select(columns)).count() == 0 == wide.select(columns).exceptAll(narrow).count()
+
+
+def test_a_query_is_sent_once_a_slab(spark):
+    from recforge.operators import ivf
+    slabs = ivf.in_slabs({0: 10, 1: 2 * ivf.SLAB, 2: 5}, {0: 1, 1: 4, 2: 1})
+    assert slabs == {0: [0], 1: [0, 0, 1, 1], 2: [2]}
+    rows = spark.createDataFrame([(7, [1.0], [0, 1, 2])], "id bigint, vec array<double>, cells array<int>")
+    assert sorted(r["slab"] for r in ivf.with_slabs(rows, slabs).collect()) == [0, 1, 2]  # six parts
