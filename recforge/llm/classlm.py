@@ -6,17 +6,19 @@ Classes.  Words with at least ``SHARE`` of all training tokens, of which there
 can't be more than 1 / SHARE, are assigned to ``CLASSES`` classes by exchange: the
 class-pair counts of all training tokens say for each word which class would
 raise the likelihood of the training text the most, and words move there, a
-share of them at a time, until all have had a turn and the likelihood has risen
-by less than ``ENOUGH`` of itself; ``score`` stops after ``ROUNDS`` at the latest.  All other words are
-in a class by the power of two below their count, words not met in training in
-that of the words met once.  The end of a text is a class of its own, and the
-one before its first word.
+share of them at a time, until all have had a turn and the likelihood has not
+risen any more.  Every other word met at least ``LEAST`` times is then put into
+the class that makes it and its neighbours the most likely, by the classes of
+the neighbours of all its training occurrences.  Words met less often are one class, which
+words not met in training share.  The end of a text is a class of its own, and
+the one before its first word.
 
 Statistics.  Counts of words, of classes and of class pairs are taken over all
 training tokens.  What grows with the vocabulary is only ever joined: texts are packed
 into blocks of word numbers, each with the list of its distinct words, and a
 block gets the counts of its own words alone.  What tasks or the driver hold
-whole has at most 1 / SHARE rows or one for each pair of classes.
+whole has at most 1 / SHARE rows or one for each pair of classes; a word that isn't
+exchanged is one row of two bytes an occurrence, of which it has less than SHARE of all.
 
 A document is held out if the CRC-32 of its id as text is 2 modulo 7.
 
@@ -33,21 +35,21 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recforge.llm import common as C
 
 SHARE = 1 / 5000  # of all tokens: words from there on are exchanged
 CLASSES = 64
-RARE = 40  # classes by count
-ROUNDS = 8  # of a scoring run; ``exchange`` by itself goes on until a cycle gains little
+LEAST = 2  # occurrences of a word with a class of its neighbours' choice; fewer stand for words not met
 TURNS = 4  # a word may move in one of so many rounds, a cycle
-ENOUGH = 1e-4  # share of the likelihood that a cycle must gain for another to follow
+ENOUGH = 0.0  # share of the likelihood that a cycle must gain for another to follow
 BLOCK = 1 << 23  # bytes of text in a block
 ALPHA, DELTA = 0.1, 1.0  # added to the counts of classes and of words
 PRIOR = 100.0  # weight, in tokens, of what follows any class beside what follows this one
-END = CLASSES + RARE
+REST = CLASSES
+END = CLASSES + 1
 ALL = END + 1
 
 
@@ -184,66 +186,80 @@ def best_move(n: np.ndarray, own: int, left: np.ndarray, right: np.ndarray, itse
     return k, float(value[k] - now)
 
 
+def neighbours(pairs: DataFrame) -> DataFrame:
+    """(word, near): for each word what stands after it (side 1) and before it (side 0), and how often; at most
+    twice as many as there are words.  A word beside itself is on side 1 alone."""
+    after = pairs.select(F.col("a").alias("word"), F.struct(F.col("b").alias("other"), F.lit(1).alias("side"), "n").alias("x"))
+    before = pairs.where("a != b").select(F.col("b").alias("word"), F.struct(F.col("a").alias("other"), F.lit(0).alias("side"), "n").alias("x"))
+    return after.unionAll(before).groupBy("word").agg(F.collect_list("x").alias("near"))
+
+
+def entries(word: pa.Array, near: pa.Array) -> tuple[np.ndarray, ...]:
+    """Row, word, neighbour, side and count of all entries of a batch of ``neighbours``."""
+    flat, at = near.flatten(), np.repeat(np.arange(len(near)), near.value_lengths().to_numpy(zero_copy_only=False))
+    other, side, n = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+    return at, word.to_numpy(zero_copy_only=False)[at], other, side, n
+
+
+def class_pairs(near: DataFrame, tries: list[np.ndarray], size: int) -> np.ndarray:
+    """Class-pair counts under each of some assignments, in one pass: a matrix a task and assignment reaches the driver."""
+    def run(batches):
+        total = np.zeros((len(tries), size * size), np.int64)
+        for batch in batches:
+            _, word, other, side, n = entries(*batch.columns)
+            word, other, n = (x[side == 1] for x in (word, other, n))
+            for mine, of in zip(total, tries):
+                np.add.at(mine, of[word] * size + of[other], n)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["n"])
+
+    parts = near.select("word", "near").mapInArrow(run, "n binary").collect()
+    out = np.zeros((len(tries), size, size))
+    for r in parts:
+        out += np.frombuffer(r["n"], np.int64).reshape(out.shape)
+    return out
+
+
 def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES, rounds: int | None = None, turns: int = TURNS,
              enough: float = ENOUGH) -> np.ndarray:
     """Classes of the words 0..n_words-1, given their pair counts; word n_words and n_words + 1 keep
     classes of their own.
 
-    Each round counts class pairs and each word's neighbours by class as Spark
-    aggregates; moves come back as a row a word.  Words of one turn move
-    together; if that lowers the likelihood, the better half of them moves.
+    Words' neighbours are gathered once.  A round is two passes over them without an exchange: moves come
+    back as a row a word, then the class-pair counts after them.  Words of one turn move
+    together; if that lowers the likelihood, the better half of them moves, or its better half, and so on.
     ``rounds``, if given, is the most that run.
     """
     of = np.concatenate([np.arange(n_words) % classes, [classes, classes + 1]]).astype(np.int64)
     size = classes + 2
     if not n_words:
         return of
-    spark = pairs.sparkSession
     schema = pa.schema([("word", pa.int64()), ("to", pa.int64()), ("gain", pa.float64())])
-
-    def class_pairs(of: np.ndarray) -> np.ndarray:
-        names = spark.createDataFrame(list(enumerate(of.tolist())), "w bigint, k bigint")
-        rows = pairs.join(F.broadcast(names.withColumnsRenamed({"w": "a", "k": "ka"})), "a") \
-            .join(F.broadcast(names.withColumnsRenamed({"w": "b", "k": "kb"})), "b") \
-            .groupBy("ka", "kb").agg(F.sum("n").alias("n")).collect()  # a row for each pair of classes
-        n = np.zeros((size, size))
-        for r in rows:
-            n[r.ka, r.kb] = r.n
-        return n
-
-    n = class_pairs(of)
+    near = C.written(neighbours(pairs), "near")
+    n = class_pairs(near, [of], size)[0]
     before_cycle = likelihood(n)
     for turn in itertools.count() if rounds is None else range(rounds):
-        names = F.broadcast(spark.createDataFrame(list(enumerate(of.tolist())), "w bigint, k bigint"))
-        moving = lambda c: (F.col(c) < n_words) & (F.col(c) % turns == turn % turns)  # noqa: B023, E731
-        other = pairs.where("a != b")
-        after = other.where(moving("a")).join(names, other["b"] == names["w"]).select(F.col("a").alias("word"), "k", "n", F.lit(1).alias("side"))
-        before = other.where(moving("b")).join(names, other["a"] == names["w"]).select(F.col("b").alias("word"), "k", "n", F.lit(0).alias("side"))
-        itself = pairs.where("a = b").where(moving("a")).select(F.col("a").alias("word"), F.lit(0).cast("bigint").alias("k"), "n", F.lit(2).alias("side"))
-        profile = after.unionAll(before).unionAll(itself).groupBy("word", "k", "side").agg(F.sum("n").alias("n")) \
-            .groupBy("word").agg(F.collect_list(F.struct("k", "side", "n")).alias("near"))
-
-        def move(word, near, of=of, n=n):
-            out = []
-            for w, rows in zip(word.to_pylist(), near.to_pylist()):
-                sides = np.zeros((3, size))
-                for r in rows:
-                    sides[r["side"], r["k"]] = r["n"]
-                out.append((w, *best_move(n, int(of[w]), sides[0], sides[1], sides[2, 0], classes)))
-            return dict(zip(("word", "to", "gain"), zip(*out)))
-
-        moves = profile.mapInArrow(C.by_batch(move, schema, "word", "near"), "word bigint, to bigint, gain double") \
+        def move(word, lists, of=of, n=n):
+            at, own, other, side, count = entries(word, lists)
+            itself = np.bincount(at, count * (other == own), len(word))
+            apart = other != own
+            sides = np.bincount(((at * 2 + side) * size + of[other])[apart], count[apart], len(word) * 2 * size).reshape(-1, 2, size)
+            best = [best_move(n, int(of[w]), beside[0], beside[1], i, classes) for w, beside, i in zip(word.to_pylist(), sides, itself)]
+            return {"word": word, "to": [k for k, _ in best], "gain": [g for _, g in best]}
+
+        moving = near.where((F.col("word") < n_words) & (F.col("word") % turns == turn % turns))
+        moves = moving.mapInArrow(C.by_batch(move, schema, "word", "near"), "word bigint, to bigint, gain double") \
             .where("gain > 0").collect()  # at most 1 / SHARE rows
         moves.sort(key=lambda m: (-m.gain, m.word))
+        tries = []
         while moves:
-            tried = of.copy()
+            tries.append(of.copy())
             for m in moves:
-                tried[m.word] = m.to
-            after_n = class_pairs(tried)
+                tries[-1][m.word] = m.to
+            moves = moves[:len(moves) // 2]
+        for tried, after_n in zip(tries, class_pairs(near, tries, size) if tries else ()):
             if likelihood(after_n) > likelihood(n):
                 of, n = tried, after_n
                 break
-            moves = moves[:len(moves) // 2]
         if turn % turns == turns - 1:
             now = likelihood(n)
             if now - before_cycle <= enough * abs(now):
@@ -252,9 +268,55 @@ def exchange(pairs: DataFrame, n_words: int, classes: int = CLASSES, rounds: int
     return of
 
 
-def class_of(c: Column, exchanged: Column) -> Column:
-    """Class of a word: as exchanged, or by the power of two below its count."""
-    return F.coalesce(exchanged, F.least(F.floor(F.log2(c + 0.5)), F.lit(RARE - 1)) + CLASSES).cast("int")
+def by_neighbours(n: np.ndarray, left: np.ndarray, right: np.ndarray, classes: int = CLASSES) -> np.ndarray:
+    """For each word the class under which its occurrences are the most likely.
+
+    n: class-pair counts; left, right: a row a word, how often its neighbours before and after it are of each class.
+    A class k gives sum log P(k | class before) + sum log P(class after | k) + count * log(count / (all of k, with the word)).
+    """
+    logs = np.log(following(n))
+    count = left.sum(1, keepdims=True)
+    value = left @ logs[:, :classes] + right @ logs[:classes].T - count * np.log(n.sum(0)[:classes] + count)
+    return value.argmax(1)
+
+
+def other_words(packed: DataFrame, frequent: dict[str, int], of: np.ndarray, n: np.ndarray) -> DataFrame:
+    """(word, c, class) of the training words that weren't exchanged, by the classes of their neighbours in training."""
+    names, size = pa.array(list(frequent), pa.string()), ALL
+
+    def occurrences(batches):
+        for batch in batches:
+            for ids, words, lengths, held in zip(*batch.columns):
+                number = pc.fill_null(pc.index_in(words.values, value_set=names), len(frequent)).to_numpy(zero_copy_only=False)
+                lengths, held = lengths.values.to_numpy().astype(np.int64), held.values.to_numpy(zero_copy_only=False)
+                ids = unpack(ids.as_py())[np.repeat(~held, lengths)]
+                beside = pairs_of(of[number[ids]], lengths[~held], END, size)  # a code a token, and one an end
+                ends = np.cumsum(lengths[~held] + 1) - 1
+                inner = np.ones(len(beside), bool)
+                inner[ends] = False
+                at = np.flatnonzero(inner)
+                near = np.stack([beside[at] // size, beside[at + 1] % size], 1).astype(np.uint8)
+                rest = np.flatnonzero(number[ids] == len(frequent))
+                rest = rest[np.argsort(ids[rest], kind="stable")]
+                which, counts = np.unique(ids[rest], return_counts=True)
+                edge = np.concatenate([[0], np.cumsum(2 * counts)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [words.values.take(pa.array(which)),
+                     pa.Array.from_buffers(pa.binary(), len(which), [None, pa.py_buffer(edge), pa.py_buffer(near[rest].tobytes())])],
+                    ["word", "near"])
+
+    schema = pa.schema([("word", pa.string()), ("c", pa.int64()), ("class", pa.int32())])
+
+    def choose(word, near):
+        sizes = np.array([sum(map(len, x)) // 2 for x in near.to_pylist()], np.int64)
+        sides = np.frombuffer(b"".join(b for x in near.to_pylist() for b in x), np.uint8).reshape(-1, 2).astype(np.int64)
+        row = np.repeat(np.arange(len(word)), sizes) * size
+        left, right = (np.bincount(row + sides[:, i], minlength=len(word) * size).reshape(-1, size).astype(float) for i in (0, 1))
+        return {"word": word, "c": sizes, "class": np.where(sizes >= LEAST, by_neighbours(n, left, right), REST).astype(np.int32)}
+
+    return packed.select("ids", "words", "lengths", "held").mapInArrow(occurrences, "word string, near binary") \
+        .groupBy("word").agg(F.collect_list("near").alias("near")) \
+        .mapInArrow(C.by_batch(choose, schema, "word", "near"), "word string, c bigint, class int")
 
 
 _CODED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -328,9 +390,10 @@ def score(docs: DataFrame) -> DataFrame:
     top = sorted(counts.where(F.col("c") >= SHARE * tokens).collect(), key=lambda r: (-r.c, r.word)) if tokens else []
     frequent = {r.word: i for i, r in enumerate(top)}
     pairs = C.written(frequent_pairs(packed, frequent), "pairs")
-    of = exchange(pairs, len(frequent), rounds=ROUNDS, enough=0.0)
-    exchanged = docs.sparkSession.createDataFrame([(w, int(of[i])) for w, i in frequent.items()], "word string, exchanged int")
-    classed = counts.join(F.broadcast(exchanged), "word", "left").select("word", "c", class_of(F.col("c"), F.col("exchanged")).alias("class"))
+    of = exchange(pairs, len(frequent))
+    exchanged = docs.sparkSession.createDataFrame([(r.word, r.c, int(of[frequent[r.word]])) for r in top], "word string, c bigint, class int")
+    n = class_pairs(neighbours(pairs), [of], ALL)[0]
+    classed = C.written(other_words(packed, frequent, of, n).unionByName(exchanged), "classed")
     totals, kinds = np.zeros(ALL), np.zeros(ALL)
     for r in classed.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
         totals[r["class"]], kinds[r["class"]] = r.c, r.n

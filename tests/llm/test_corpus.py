@@ -78,6 +78,40 @@ def test_exchange_ends_where_a_cycle_gains_little(spark):
     assert classlm.likelihood(pair_matrix(dense, further, 6)) >= reached
 
 
+def test_exchange_ends_at_an_optimum(spark):
+    """No word's move raises the likelihood any more."""
+    rng = random.Random(5)
+    dense = np.zeros((22, 22))
+    for _ in range(6000):
+        a = min(int(rng.expovariate(.2)), 19)
+        dense[a, (a * 3 + rng.randrange(4)) % 20] += 1
+    table = spark.createDataFrame([(a, b, int(n)) for (a, b), n in np.ndenumerate(dense) if n], "a bigint, b bigint, n bigint")
+    of = classlm.exchange(table, 20, classes=5)
+    n = pair_matrix(dense, of, 7)
+    for w in range(20):
+        left, right = (np.bincount(of, x * (np.arange(22) != w), 7) for x in (dense[:, w], dense[w]))
+        assert classlm.best_move(n, int(of[w]), left, right, dense[w, w], 5)[1] < 1e-6
+
+
+def test_words_that_are_not_exchanged_take_their_neighbours_choice(spark):
+    """Two kinds of frequent words alternate; rare words stand in the place of one kind; words met once have the class of unknown ones."""
+    rng = random.Random(6)
+    ids = [i for i in range(60) if not classlm.held_out(i)][:20]
+    texts = []
+    for i in ids:
+        words = [f"{'ab'[j % 2]}{rng.randrange(6)}" for j in range(600)]
+        words[100], words[201], words[301] = f"likea{i // 2}", f"likeb{i // 2}", f"once{i}"
+        words[300], words[401] = f"likea{i // 2}", f"likeb{i // 2}"
+        texts.append((i, " ".join(words)))
+    packed = classlm.blocks(frame(spark, texts)).checkpoint()
+    frequent = {f"{k}{i}": j * 6 + i for j, k in enumerate("ab") for i in range(6)}
+    of = np.array([0] * 6 + [1] * 6 + [classlm.REST, classlm.END])
+    n = classlm.class_pairs(classlm.neighbours(classlm.frequent_pairs(packed, frequent)), [of], classlm.ALL)[0]
+    got = {r.word: (r.c, r["class"]) for r in classlm.other_words(packed, frequent, of, n).collect()}
+    counts = collections.Counter(w for _, t in texts for w in t.split() if w not in frequent)
+    assert got == {w: (c, classlm.REST if c < classlm.LEAST else int(w.startswith("likeb"))) for w, c in counts.items()}
+
+
 def plain_base(texts):
     words = [(i, (t or "").encode().lower().split() + [None]) for i, t in texts]
     held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in texts]
