@@ -160,3 +160,12 @@ def test_white_space_around_titles(spark):
     df = spark.createDataFrame([("X (1999)\r",), ("\tY (2001) \u00a0",), ("Z (1987)",)], "t string")
     rows = df.select(SF.release_year("t").alias("y"), SF.clean_title("t").alias("c")).collect()
     assert [tuple(r) for r in rows] == [(1999, "X"), (2001, "Y"), (1987, "Z")]
+
+
+def test_followers_without_a_vector_are_no_candidates(spark):
+    """Item 4 follows what user 1 rated but has no vector, item 5 has a null one: neither is joined to users."""
+    ratings = spark.createDataFrame([(1, 1), (2, 3), (2, 1)], "userId long, productId long")
+    pairs = spark.createDataFrame([(1, 2, 3), (1, 3, 1), (1, 4, 1), (1, 5, 1), (3, 1, 2)], "src long, dst long, n long")
+    vectors = spark.createDataFrame([(1, [1.0]), (2, [1.0]), (3, [1.0]), (5, None)], "productId long, emb array<float>")
+    found = E.next_item_candidates(ratings, pairs, vectors).collect()
+    assert sorted((r.userId, r.productId) for r in found) == [(1, 2), (1, 3), (2, 2)]
