@@ -61,3 +61,23 @@ def test_a_query_is_sent_once_a_slab(spark):
     assert slabs == {0: [0], 1: [0, 0, 1, 1], 2: [2]}
     rows = spark.createDataFrame([(7, [1.0], [0, 1, 2])], "id bigint, vec array<double>, cells array<int>")
     assert sorted(r["slab"] for r in ivf.with_slabs(rows, slabs).collect()) == [0, 1, 2]  # six parts
+
+
+def test_a_pair_gets_both_vectors_from_one_exchange(spark):
+    ratings = spark.createDataFrame([(1, 5), (1, 5), (1, 6), (1, 7), (2, 7), (2, 9), (3, 9), (None, 6), (4, None), (4, 8)], RATINGS)
+    items = spark.createDataFrame([(5, [1.0, 2.0]), (6, [0.5, -1.0]), (6, [2.0, 2.0]), (7, None), (8, [9.0, 9.0]), (None, [1.0, 1.0])], VECTORS)
+    rows = E.rated_pairs_with_vectors(ratings, items)
+    users = E.user_embeddings(ratings, items).withColumnRenamed("emb", "a")
+    want = ratings.distinct().join(items.withColumnRenamed("emb", "b"), "productId").join(users, "userId").select(rows.columns)
+    assert rows.schema["a"].dataType == want.schema["a"].dataType
+    assert sorted(map(str, rows.collect())) == sorted(map(str, want.collect())) and rows.count() == 5
+    assert E.rated_pairs_with_vectors(ratings, items.where("emb is null")).count() == 0
+
+
+def test_pair_vectors_are_dealt_once_and_as_they_are(spark):
+    """Neither sums nor their terms, twice as wide as a vector, are below the one exchange by user."""
+    from recforge.plans.registry import _distinct_pairs_with_fields
+    from .conftest import SF_SMALL
+    tree = _distinct_pairs_with_fields(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = tree.split("RepartitionByExpression")
+    assert tree.count("Join ") == 2 and "sum(" in above and "sum(" not in below and "_w0" not in below
