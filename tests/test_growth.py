@@ -81,3 +81,12 @@ def test_pair_vectors_are_dealt_once_and_as_they_are(spark):
     tree = _distinct_pairs_with_fields(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     above, below = tree.split("RepartitionByExpression")
     assert tree.count("Join ") == 2 and "sum(" in above and "sum(" not in below and "_w0" not in below
+
+
+def test_a_matrix_product_sums_numbers(spark):
+    from recforge.operators import cooccurrence as CO
+    matrix = spark.createDataFrame([(1, 2, 0.5), (2, 1, 0.5), (2, 2, 2.0), (3, 1, 1.0), (1, 3, 1.0)], "a bigint, b bigint, w double")
+    factors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [3.0, -1.0]), (3, [0.0, 4.0])], "id bigint, vec array<double>")
+    product = CO.times(matrix, factors, 2)
+    assert {r["id"]: r["vec"] for r in product.collect()} == {1: [1.5, 3.5], 2: [6.5, -2.0], 3: [1.0, 0.0]}
+    assert "ObjectHashAggregate" not in plan(product)
