@@ -90,3 +90,16 @@ def test_a_matrix_product_sums_numbers(spark):
     product = CO.times(matrix, factors, 2)
     assert {r["id"]: r["vec"] for r in product.collect()} == {1: [1.5, 3.5], 2: [6.5, -2.0], 3: [1.0, 0.0]}
     assert "ObjectHashAggregate" not in plan(product)
+
+
+def test_recommendations_do_not_join_all_pairs(spark):
+    """Neither side's factors are crossed with the other's, and the rows are those of Spark's search, floats and all."""
+    from recforge.operators import als as AL
+    rows = [(u, p, float((u * 7 + p * 3) % 10) / 2 + 0.5) for u in range(30) for p in range(50) if (u + p) % 3]
+    model = AL.fit_als(spark.createDataFrame(rows, "userIdInt int, productIdInt int, ratingFloat float"))
+    for recs, plain, key, other in ((AL.user_recs, model.recommendForAllUsers, "userIdInt", "productIdInt"),
+                                    (AL.item_recs, model.recommendForAllItems, "productIdInt", "userIdInt")):
+        got, want = recs(model), AL.explode_recs(plain(10), key, other)
+        assert "CartesianProduct" not in plan(got) and "CartesianProduct" in plan(want)
+        both = got.withColumnRenamed("rating", "_r").join(want, [key, other, "rank"], "full")
+        assert got.dtypes == want.dtypes and both.where("rating is null or _r is null or abs(rating - _r) > 1e-5").count() == 0
