@@ -103,3 +103,40 @@ def test_recommendations_do_not_join_all_pairs(spark):
         assert "CartesianProduct" not in plan(got) and "CartesianProduct" in plan(want)
         both = got.withColumnRenamed("rating", "_r").join(want, [key, other, "rank"], "full")
         assert got.dtypes == want.dtypes and both.where("rating is null or _r is null or abs(rating - _r) > 1e-5").count() == 0
+
+
+def test_click_features_compile_and_are_read_from_a_checkpoint(spark, monkeypatch):
+    """No method of a scoring plan is beyond the 8,000 bytes of bytecode that the JVM compiles; a fit reads two columns."""
+    from recforge.operators import ctr as CTR
+    from recforge.operators import fields as FL
+    from .test_clicks import samples
+    train = samples(spark, [(k % 20, k % 15, k % 2, k % 7 / 2, k % 5 / 2, "red") for k in range(200)]).checkpoint()
+    fields = [*FL.id_fields(), *FL.type_fields([f"word{i}" for i in range(18)])]
+    read = []
+
+    class Machine(CTR.FMClassifier):
+        def fit(self, dataset, params=None):
+            read.append((dataset.columns, plan(dataset)))
+            return super().fit(dataset, params)
+
+    model = CTR._fit(train, Machine(labelCol="label", featuresCol="features", maxIter=2, seed=1), fields, cross=True)
+    ((columns, tree),) = read
+    assert columns == ["label", "features"] and tree.strip().startswith("*(1) Scan ExistingRDD")
+    debug = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+    code = debug.codegenStringSeq(CTR.predict(model, train)._jdf.queryExecution().executedPlan())
+    sizes = [code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())]
+    assert len(sizes) > 2 and max(sizes) <= 8000
+
+
+def test_facts_fit_the_trees_once(spark, monkeypatch):
+    from recforge.operators import ctr as CTR
+    from recforge.plans import facts
+    from .test_clicks import samples
+    fits = []
+    plain = CTR.ctr_trees
+    counted = lambda *a, **kw: fits.append(1) or plain(*a, trees=2, depth=2, **kw)
+    monkeypatch.setattr(CTR, "ctr_trees", counted)
+    monkeypatch.setattr(CTR, "MODELS", {"trees": counted, "leaves": lambda *a, **kw: CTR.ctr_leaves(*a, depth=2, **kw)})
+    rows = samples(spark, [(k % 20, k % 15, k % 2, k % 7 / 2, k % 5 / 2, "red") for k in range(200)]).checkpoint()
+    got = {r.fact: r.value for r in facts.ctr_facts(spark, "", lambda *_: (rows, rows)).collect()}
+    assert got["trees_scored"] == got["leaves_scored"] == 200 and len(fits) == 1
